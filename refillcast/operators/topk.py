@@ -34,25 +34,14 @@ def rank_entities(top: DataFrame, labels: Sequence[str]) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*_frequency_order(labels))))
 
 
-def slot_vectors(
-    ranked: DataFrame, match: str, n_slots: int, offset: int = 0, default: str | None = UNKNOWN_LABEL
-) -> DataFrame:
-    """One row per matched label with a 0/1 vector of the slots it feeds.
-
-    Several ranks may share a matched label (ids with one name, NULL and its stand-in), so a
-    label can feed more than one slot. ``offset`` places the ranks in a longer vector that
-    other families share. At most k rows.
+def fed_ranks(ranked: DataFrame, match: str) -> DataFrame:
+    """One row per matched label with the ranks it feeds; at most k rows.
+
+    Several ranks may share a matched label: ids with one name, or the NULL label and the text
+    that stands in for it. Events of that label then feed all of them.
     """
-    label = F.coalesce(F.col(match), F.lit(default)) if default is not None else F.col(match)
-    slots = F.sequence(F.lit(1), F.lit(n_slots))
-    return (
-        ranked.groupBy(label.alias("match_label"))
-        .agg(F.collect_list(F.col("rank") + F.lit(offset)).alias("fed"))
-        .select(
-            "match_label",
-            F.transform(slots, lambda s: F.array_contains("fed", s).cast("tinyint")).alias("slots"),
-        )
-    )
+    label = F.coalesce(F.col(match), F.lit(UNKNOWN_LABEL)).alias("match_label")
+    return ranked.groupBy(label).agg(F.collect_list("rank").alias("ranks"))
 
 
 def densify(target: DataFrame, entities: DataFrame, k: int) -> DataFrame:

@@ -2,36 +2,27 @@
 
 A window test on ``months_between`` depends on calendar days only (see ``window_start``), so
 events and targets are first reduced to one row per key and day. What a single key can hold
-after that is bounded by the days of the history, however many raw rows it had. Window totals
-are then differences of running totals: one sort per key, no pair of target and event is built.
+after that is bounded by the days of the history, however many raw rows it had, and what a
+window can hold by the days of a year. Window totals then come from one sort per key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refillcast.functions import feature_name, window_start
-from refillcast.operators.topk import UNKNOWN_LABEL, rank_entities, slot_vectors, top_k_entities
+from refillcast.operators.reshape import long_union
+from refillcast.operators.topk import fed_ranks, rank_entities, top_k_entities
 
 WINDOWS = (1, 3, 6, 12)
 CUSTOMER = "customer_entity_id"
 TARGET_KEY = (CUSTOMER, "product_id", "purchase_dt")
 TARGET_TS = "purchase_dt"
-
-# Running totals of doubles would leave rounding residue in a difference; decimals do not.
-_EXACT = "decimal(38,12)"
-
-
-def exact(c: Column) -> Column:
-    """Decimal form of a double for running totals; a value it cannot hold stops the job."""
-    dec = c.try_cast(_EXACT)
-    message = F.concat(F.lit("no exact decimal for "), c.cast("string"))
-    return F.when(c.isNotNull() & dec.isNull(), F.raise_error(message)).otherwise(dec)
-
+MASK_BITS = 62
 
 def daily_events(events: DataFrame, keys: Sequence[str], ts: str, totals: dict[str, Column]) -> DataFrame:
     """One row per key and calendar day; rows without key or time can match no window."""
@@ -47,64 +38,120 @@ def target_days(target: DataFrame, keys: Sequence[str], ts: str = TARGET_TS) ->
     return target.dropna(subset=[*keys, ts]).select(*keys, F.to_date(ts).alias("day")).distinct()
 
 
-def window_totals(
-    days: DataFrame,
+def day_rows(
+    target: DataFrame,
     events: DataFrame,
     keys: Sequence[str],
-    counters: Sequence[str],
-    windows: Sequence[int] = WINDOWS,
-    strict: Sequence[str] = (),
+    event_ts: str,
+    totals: dict[str, Column],
+    target_ts: str = TARGET_TS,
 ) -> DataFrame:
-    """Totals of each counter over every trailing window of every (key, day).
+    """One row per key and day with target rows or events: ``is_target`` and the day's totals.
 
-    ``days`` holds distinct (key, day), ``events`` one row per (key, day) with the counters.
-    Counters in ``strict`` leave out the day itself. Output: keys, day, ``<counter>__<months>``.
+    ``totals`` are aggregates over the event columns that ignore NULL. Targets and events meet
+    in one aggregate whose partial sums run before the exchange on (key, day).
     """
-    at_day, before_day = 0, -1
-    day = F.col("day")
-    bounds = {months: F.date_sub(window_start(day, months), 1) for months in windows}
-    if set(counters) - set(strict):
-        bounds[at_day] = day
-    if strict:
-        bounds[before_day] = F.date_sub(day, 1)
-
-    types = {f.name: f.dataType for f in events.schema.fields}
-    marks = (
-        days.select(
-            *keys,
-            day.alias("mark_day"),
-            F.explode(
-                F.array(*[F.struct(F.lit(b).alias("bound"), at.alias("pos")) for b, at in bounds.items()])
-            ).alias("mark"),
-        ).select(
-            *keys,
-            "mark_day",
-            "mark.bound",
-            "mark.pos",
-            *[F.lit(0).cast(types[c]).alias(c) for c in counters],
+    carried = [c for c in events.columns if c not in (*keys, event_ts)]
+    return (
+        target.select(*keys, F.to_date(target_ts).alias("day"), F.lit(True).alias("is_target"))
+        .unionByName(
+            events.select(*keys, F.to_date(event_ts).alias("day"), F.lit(False).alias("is_target"), *carried),
+            allowMissingColumns=True,
         )
+        .dropna(subset=[*keys, "day"])
+        .groupBy(*keys, "day")
+        .agg(F.max("is_target").alias("is_target"), *[t.alias(name) for name, t in totals.items()])
     )
-    steps = events.select(
-        *keys,
-        F.lit(None).cast("date").alias("mark_day"),
-        F.lit(None).cast("int").alias("bound"),
-        day.alias("pos"),
-        *counters,
+
+
+def window_sums(
+    target: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    event_ts: str,
+    totals: dict[str, Column],
+    windows: Sequence[int] = WINDOWS,
+    strict: Collection[str] = (),
+    target_ts: str = TARGET_TS,
+) -> DataFrame:
+    """Totals over every trailing window, for every (key, day) of the target; few totals.
+
+    Each target day sees the day rows of the longest window as one list, at most one entry per
+    calendar day, and adds up the entries of each window. Nothing is subtracted, so sums of
+    doubles carry no residue. Totals in ``strict`` leave out the day itself. Output: keys, day,
+    ``<total>__<months>``.
+    """
+    day = F.col("day")
+    span = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-31 * max(windows), 0)
+    has_events = F.coalesce(*totals).isNotNull()
+    days = day_rows(target, events, keys, event_ts, totals, target_ts)
+    types = {f.name: f.dataType for f in days.schema.fields}
+    seen = (
+        days.withColumn("past", F.collect_list(F.when(has_events, F.struct("day", *totals))).over(span))
+        .where("is_target")
+        .select(*keys, "day", "past", *[window_start(day, m).alias(f"from__{m}") for m in windows])
     )
-    # Default frame: everything up to the position, rows on the same position included.
-    upto = Window.partitionBy(*keys).orderBy("pos")
-    running = (
-        steps.unionByName(marks)
-        .select(*keys, "mark_day", "bound", *[F.sum(c).over(upto).alias(c) for c in counters])
-        .where(F.col("bound").isNotNull())
+
+    def add(sums: Column, past: Column) -> Column:
+        def part(c: str, m: int) -> Column:
+            inside = past["day"] >= F.col(f"from__{m}")
+            if c in strict:
+                inside = inside & (past["day"] < day)
+            return sums[f"{c}__{m}"] + F.when(inside & past[c].isNotNull(), past[c]).otherwise(F.lit(0).cast(types[c]))
+
+        return F.struct(*[part(c, m).alias(f"{c}__{m}") for c in totals for m in windows])
+
+    zero = F.struct(*[F.lit(0).cast(types[c]).alias(f"{c}__{m}") for c in totals for m in windows])
+    return seen.select(*keys, "day", F.aggregate("past", zero, add).alias("sums")).select(*keys, "day", "sums.*")
+
+
+def slot_history(
+    days: DataFrame,
+    keys: Sequence[str],
+    counted: Sequence[str] = (),
+    masks: Sequence[str] = (),
+    windows: Sequence[int] = WINDOWS,
+    strict: Collection[str] = (),
+    open_bits: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Many whole-number totals of ``day_rows`` at once, for every (key, day) of the target.
+
+    ``masks`` are 64-bit columns with one bit per total that only asks whether a window holds
+    any event; a window combines the masks of its days. ``counted`` totals are differences of
+    two running totals: a target day looks up the totals before the first day row of each
+    window. The day itself counts except for totals in ``strict`` and for mask bits missing
+    from ``open_bits``. Output: keys, day, ``<mask>__<months>``, ``<counted>__<months>``. SQL
+    text keeps a few hundred columns quick to build.
+    """
+    over = f"over (partition by {', '.join(keys)} order by unix_date(day) range between"
+    upto = f"{over} unbounded preceding and current row)"
+    span = f"{over} {31 * max(windows)} preceding and current row)"
+    before = ", ".join(f"sum({c}) {upto} - {c}" for c in counted)
+    closing = ", ".join("0L" if c in strict else c for c in counted)
+    arrays = [f"array({before}) as before", f"array({closing}) as closing"] if counted else []
+    listed = ["day", *masks, *(["before"] if counted else [])]
+    seen = (
+        days.na.fill(0, [*counted, *masks])
+        .selectExpr(*keys, "day", "is_target", *masks, *arrays)
+        .selectExpr("*", f"collect_list(struct({', '.join(listed)})) {span} as past")
+        .where("is_target")
+        .select("*", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
+        .selectExpr("*", *[f"filter(past, p -> p.day >= from__{m}) as in__{m}" for m in windows])
     )
 
-    def difference(c: str, months: int) -> Column:
-        upper = before_day if c in strict else at_day
-        return F.sum(F.when(F.col("bound") == upper, F.col(c)).when(F.col("bound") == months, -F.col(c)))
+    def combined(mask: str, m: int) -> str:
+        today = f"{mask} & {(open_bits or {}).get(mask, -1)}L"
+        earlier = f"aggregate(in__{m}, 0L, (bits, p) -> bits | case when p.day < day then p.{mask} else 0L end)"
+        return f"{earlier} | ({today}) as {mask}__{m}"
 
-    return running.groupBy(*keys, F.col("mark_day").alias("day")).agg(
-        *[difference(c, months).alias(f"{c}__{months}") for c in counters for months in windows]
+    return seen.selectExpr(
+        *keys,
+        "day",
+        *[combined(mask, m) for mask in masks for m in windows],
+        *[
+            f"before[{i}] + closing[{i}] - in__{m}[0].before[{i}] as {c}__{m}"
+            for i, c in enumerate(counted) for m in windows
+        ],
     )
 
 
@@ -139,17 +186,23 @@ def trailing_sum(
     include_zero: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` per window, once per target row with the key; no events give 0."""
-    day_sum = exact(F.sum(F.coalesce(F.col(value), F.lit(0.0)).cast("double")))
-    events = daily_events(events, keys, event_ts, {"total": day_sum})
-    totals = window_totals(
-        target_days(target, keys), events, keys, ["total"], windows, () if include_zero else ("total",)
-    )
+    values = events.select(*keys, F.col(event_ts).alias("event_ts"), F.col(value).cast("double").alias("value"))
+    sums = {"total": F.sum("value")}
+    totals = window_sums(target, values, keys, "event_ts", sums, windows, () if include_zero else sums)
     return per_target(target, totals, keys, {
-        f"{prefix}_last{m}m": F.coalesce(F.col(f"total__{m}").cast("double"), F.lit(0.0)) * F.col("copies")
+        f"{prefix}_last{m}m": F.coalesce(F.col(f"total__{m}"), F.lit(0.0)) * F.col("copies")
         for m in windows
     })
 
 
+def _event_counts(
+    target: DataFrame, events: DataFrame, keys: Sequence[str], event_ts: str, windows: Sequence[int], include_zero: bool
+) -> DataFrame:
+    ones = events.select(*keys, F.col(event_ts).alias("event_ts"), F.lit(1).alias("one"))
+    counts = {"n": F.sum("one")}
+    return window_sums(target, ones, keys, "event_ts", counts, windows, () if include_zero else counts)
+
+
 def trailing_count(
     target: DataFrame,
     events: DataFrame,
@@ -160,8 +213,7 @@ def trailing_count(
     include_zero: bool = True,
 ) -> DataFrame:
     """Number of events per window, once per target row with the key; no events give 0."""
-    events = daily_events(events, keys, event_ts, {"n": F.count(F.lit(1))})
-    totals = window_totals(target_days(target, keys), events, keys, ["n"], windows, () if include_zero else ("n",))
+    totals = _event_counts(target, events, keys, event_ts, windows, include_zero)
     return per_target(target, totals, keys, {
         f"last{m}m_{suffix}": F.coalesce(F.col(f"n__{m}"), F.lit(0)) * F.col("copies") for m in windows
     })
@@ -177,8 +229,7 @@ def trailing_flag(
     include_zero: bool = True,
 ) -> DataFrame:
     """1 where the window holds any event of the key, else 0."""
-    events = daily_events(events, keys, event_ts, {"n": F.count(F.lit(1))})
-    totals = window_totals(target_days(target, keys), events, keys, ["n"], windows, () if include_zero else ("n",))
+    totals = _event_counts(target, events, keys, event_ts, windows, include_zero)
     return per_target(target, totals, keys, {
         f"last{m}m_{suffix}": (F.coalesce(F.col(f"n__{m}"), F.lit(0)) > 0).cast("long") for m in windows
     })
@@ -208,56 +259,93 @@ def ranked_labels(events: DataFrame, channel: Channel) -> DataFrame:
     return rank_entities(top, channel.labels)
 
 
+@dataclass(frozen=True)
+class Slot:
+    """Where one rank of a channel is kept: a column of its own, or one bit of a mask column."""
+
+    channel: Channel
+    rank: int
+    column: str
+    bit: int | None
+
+
+def channel_slots(channels: Sequence[Channel]) -> list[Slot]:
+    """The slots of all channels: counts get columns, flags share masks of 62 bits."""
+    slots, counts, flags = [], 0, 0
+    for channel in channels:
+        for rank in range(1, channel.k + 1):
+            if channel.mode == "count":
+                slots.append(Slot(channel, rank, f"s{counts}", None))
+                counts += 1
+            else:
+                slots.append(Slot(channel, rank, f"hits{flags // MASK_BITS}", flags % MASK_BITS))
+                flags += 1
+    return slots
+
+
 def channel_totals(
-    days: DataFrame,
+    target: DataFrame,
     channels: Sequence[tuple[Channel, DataFrame]],
     windows: Sequence[int] = WINDOWS,
 ) -> DataFrame:
-    """Window totals of every slot of all channels per (customer, day), in one pass.
+    """History of every slot of all channels per (customer, target day), in one pass.
 
     The top-k tables (k rows each) are broadcast onto the events, which drops events of all
     other labels before the only shuffle of event data, and that shuffle carries partial sums.
     """
-    n_slots = sum(channel.k for channel, _ in channels)
-    slots_of: list[str] = []
-    strict: list[str] = []
+    slots = channel_slots([channel for channel, _ in channels])
+    counted = [s for s in slots if s.bit is None]
+    masks = list(dict.fromkeys(s.column for s in slots if s.bit is not None))
+    # Per event: the counts it adds and the mask bits it sets, NULL where the channel has none.
+    fed_type = "array<tinyint>"
     matched = []
-    offset = 0
     for channel, events in channels:
-        names = [f"s{offset + r}" for r in range(1, channel.k + 1)]
-        slots_of += names
-        if not channel.include_zero:
-            strict += names
-        slots = slot_vectors(ranked_labels(events, channel), channel.match, n_slots, offset, UNKNOWN_LABEL)
+        own = [s for s in slots if s.channel is channel]
+        labels = fed_ranks(ranked_labels(events, channel), channel.match)
+        adds = [
+            f"cast(array_contains(ranks, {s.rank}) as tinyint)" if s.channel is channel else "0Y" for s in counted
+        ]
+        bits = {
+            mask: " | ".join(
+                f"case when array_contains(ranks, {s.rank}) then {1 << s.bit}L else 0L end"
+                for s in own if s.column == mask
+            ) or "cast(null as bigint)"
+            for mask in masks
+        }
+        fed = labels.selectExpr(
+            "match_label",
+            (f"array({', '.join(adds)})" if channel.mode == "count" else f"cast(null as {fed_type})") + " as adds",
+            *[f"{text} as {mask}" for mask, text in bits.items()],
+        )
         matched.append(
             events.select(
                 CUSTOMER, F.col(channel.ts).alias("event_ts"), F.col(channel.match).alias("match_label")
-            ).join(F.broadcast(slots), "match_label").select(CUSTOMER, "event_ts", "slots")
+            ).join(F.broadcast(fed), "match_label").drop("match_label")
         )
-        offset += channel.k
-    stacked = matched[0]
-    for frame in matched[1:]:
-        stacked = stacked.unionByName(frame)
-    events = daily_events(
-        stacked, [CUSTOMER], "event_ts", {name: F.sum(F.get("slots", F.lit(i))) for i, name in enumerate(slots_of)}
+    totals = {s.column: F.expr(f"sum(adds[{i}])") for i, s in enumerate(counted)}
+    totals |= {mask: F.bit_or(mask) for mask in masks}
+    days = day_rows(target, long_union(*matched), [CUSTOMER], "event_ts", totals)
+    return slot_history(
+        days,
+        [CUSTOMER],
+        counted=[s.column for s in counted],
+        masks=masks,
+        windows=windows,
+        strict=[s.column for s in counted if not s.channel.include_zero],
+        open_bits={
+            mask: sum(1 << s.bit for s in slots if s.column == mask and s.channel.include_zero) for mask in masks
+        },
     )
-    return window_totals(days, events, [CUSTOMER], slots_of, windows, strict)
 
 
-def channel_outputs(
-    channels: Sequence[Channel], windows: Sequence[int] = WINDOWS, copies: Column | None = None
-) -> dict[str, Column]:
-    """Feature columns over ``channel_totals``: every slot and window, 0 where nothing matched."""
-    copies = F.col("copies") if copies is None else copies
+def channel_outputs(channels: Sequence[Channel], windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+    """Feature columns over ``channel_totals`` and ``copies``: every slot and window, else 0."""
     outputs = {}
-    offset = 0
-    for channel in channels:
-        for rank in range(1, channel.k + 1):
-            for months in windows:
-                total = F.coalesce(F.col(f"s{offset + rank}__{months}"), F.lit(0))
-                value = (total > 0).cast("long") if channel.mode == "flag" else total * copies
-                outputs[feature_name(channel.entity, rank, months, channel.kind)] = value
-        offset += channel.k
+    for slot in channel_slots(channels):
+        for m in windows:
+            value = f"coalesce({slot.column}__{m}, 0L)"
+            text = f"{value} * copies" if slot.bit is None else f"shiftright({value}, {slot.bit}) & 1L"
+            outputs[feature_name(slot.channel.entity, slot.rank, m, slot.channel.kind)] = F.expr(text)
     return outputs
 
 
@@ -265,8 +353,7 @@ def topk_trailing(
     target: DataFrame, events: DataFrame, channel: Channel, windows: Sequence[int] = WINDOWS
 ) -> DataFrame:
     """Wide top-k features of one channel: one row per target key, k slots x windows columns."""
-    days = target_days(target, [CUSTOMER])
-    totals = channel_totals(days, [(channel, events)], windows)
+    totals = channel_totals(target, [(channel, events)], windows)
     return per_target(target, totals, [CUSTOMER], channel_outputs([channel], windows))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from refillcast.functions import fill_defaults
 from refillcast.operators.joins import join_dim, require_all
+from refillcast.operators.reshape import long_union
 from refillcast.operators.trailing import (
     CUSTOMER,
     TARGET_KEY,
@@ -17,11 +18,8 @@ from refillcast.operators.trailing import (
     Channel,
     channel_outputs,
     channel_totals,
-    daily_events,
-    exact,
     target_copies,
-    target_days,
-    window_totals,
+    window_sums,
 )
 from refillcast.plans.dimensions import IDENTITY_ATTRIBUTES, IDENTITY_SOURCES
 from refillcast.plans.target import GAP, LAST
@@ -88,17 +86,23 @@ def product_mean_gap(df: DataFrame, weight: str | None = None) -> DataFrame:
     )
 
 
-def product_totals(days: DataFrame, purchases: DataFrame, views: DataFrame, windows: Sequence[int]) -> DataFrame:
+def product_totals(
+    target: DataFrame, purchases: DataFrame, views: DataFrame, windows: Sequence[int] = WINDOWS
+) -> DataFrame:
     """Quantity bought (days before) and views (day included) per (customer, product, day)."""
     keys = [CUSTOMER, "product_id"]
-    events = purchases.select(
-        *keys, F.col("purchase_dt").alias("at"), F.coalesce("quantity", F.lit(0.0)).alias("quantity"),
-        F.lit(0).alias("view"),
-    ).unionByName(
-        views.select(*keys, F.col("viewed_dt").alias("at"), F.lit(0.0).alias("quantity"), F.lit(1).alias("view"))
+    events = long_union(
+        purchases.select(
+            *keys, F.col("purchase_dt").alias("event_ts"), F.col("quantity").cast("double").alias("quantity"),
+            F.lit(None).cast("int").alias("view"),
+        ),
+        views.select(
+            *keys, F.col("viewed_dt").alias("event_ts"), F.lit(None).cast("double").alias("quantity"),
+            F.lit(1).alias("view"),
+        ),
     )
-    by_day = daily_events(events, keys, "at", {"bought": exact(F.sum("quantity")), "viewed": F.sum("view")})
-    return window_totals(days, by_day, keys, ["bought", "viewed"], windows, strict=("bought",))
+    sums = {"bought": F.sum("quantity"), "viewed": F.sum("view")}
+    return window_sums(target, events, keys, "event_ts", sums, windows, strict=("bought",))
 
 
 def customer_frame(inputs: ModellingInputs) -> DataFrame:
@@ -131,11 +135,9 @@ def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -
         covered = covered.sparkSession.read.parquet(spec.staging)
 
     products = join_dim(product_mean_gap(covered, "weight"), inputs.products, "product_id", "item_id")
-    of_product = product_totals(
-        target_days(covered, [CUSTOMER, "product_id"]), inputs.purchases, inputs.views, spec.windows
-    )
+    of_product = product_totals(covered, inputs.purchases, inputs.views, spec.windows)
     channels = [(getattr(spec, name), getattr(inputs, name)) for name in spec.channels]
-    of_customer = channel_totals(target_days(covered, [CUSTOMER]), channels, spec.windows)
+    of_customer = channel_totals(covered, channels, spec.windows)
     customers = of_customer.join(customer_frame(inputs), CUSTOMER)
 
     joined = (
@@ -148,7 +150,7 @@ def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -
     attributes = [name for name, _ in IDENTITY_ATTRIBUTES]
     filled = fill_defaults(joined, cols=[*PRODUCT_TEXT, "price", *attributes, *spec.sources])
     bought = {
-        f"purchased_quantity_last{m}m": F.col(f"bought__{m}").cast("double") * copies for m in spec.windows
+        f"purchased_quantity_last{m}m": F.col(f"bought__{m}") * copies for m in spec.windows
     }
     viewed = {f"last{m}m_product_view": F.col(f"viewed__{m}") * copies for m in spec.windows}
     slots = channel_outputs([channel for channel, _ in channels], spec.windows)

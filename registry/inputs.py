@@ -11,9 +11,16 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refillcast.plans.dimensions import IDENTITY_ATTRIBUTES
-from refillcast.session import configure
+from refillcast.plans.dimensions import (
+    IDENTITY_ATTRIBUTES,
+    identity_dimension,
+    identity_source_matrix,
+    product_dimension,
+)
+from refillcast.plans.target import replenishment_target
+from refillcast.session import configure, fresh_path
 
+SOURCE_VALUES = ("magento", "me_web", "se", "store", "phone")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Order and ship dates are midnights; seconds of the day are added from the keys.
@@ -202,3 +209,34 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = INPUT_SQL[name]
     tables = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(spark_text(text), **tables)
+
+
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input, or one of the tables the package itself derives from inputs."""
+    if name == "replenishment_target":
+        return replenishment_target(staged(spark, sf_dir, "transactional_quantity"))
+    if name == "identity_sources":
+        return identity_source_matrix(source(spark, sf_dir, "identity_sources_raw"), SOURCE_VALUES)
+    if name == "identity_attributes":
+        return identity_dimension(source(spark, sf_dir, "identity_attributes_raw"))
+    if name == "products":
+        return product_dimension(source(spark, sf_dir, "product_feed"))
+    return source(spark, sf_dir, name)
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The input as a Parquet table in the shared folder, written once per application.
+
+    The loaders of the engine read tables that lie in storage; composite operators read such a
+    table several times, so the star-schema joins behind it should not run each time.
+    """
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        path = fresh_path(spark, name)
+        derived(spark, sf_dir, name).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])

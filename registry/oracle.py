@@ -157,3 +157,53 @@ def topk_sql(events: str) -> str:
 def topk_names(events: str) -> list[str]:
     c = TOPK[events]
     return [f"{c['entity']}_{r}__last{w}m_{c['kind']}" for r in range(1, c["k"] + 1) for w in WINDOWS]
+
+
+def modelling_data(names: list[tuple[str, str]]) -> str:
+    """The wide table as left joins from the target, with the filters on top."""
+    text = {"first_category", "second_category", "third_category", "brand"}
+    feature_sets = {
+        "ppur": trailing_quantity(),
+        "vw": trailing_views(),
+        "clk": topk_sql("banner_clicked"),
+        "imp": topk_sql("banner_impression"),
+        "cmp": topk_sql("utm_campaign"),
+        "med": topk_sql("utm_medium"),
+        "src": topk_sql("utm_source"),
+    }
+    columns = [f"t.{c}" for c in (
+        "customer_entity_id", "product_id", "purchase_dt", "last_purchase_dt", "days_since_last_purchase")]
+    columns += [
+        "round(ln(t.days_since_last_purchase), 6) as log_days_since_last_purchase",
+        "round(avg(t.days_since_last_purchase) over (partition by t.product_id), 6)"
+        " as longterm_average_since_last_purchase",
+        "idi.n_identifiers",
+        "coalesce(prd.price, 0) as price",
+    ]
+    columns += [f"coalesce(prd.{c}, 'Unknown') as {c}" for c in sorted(text)]
+    columns += [
+        f"coalesce(ida.{c}, " + ("0" if kind == "double" else "'Unknown'") + f") as {c}" for c, kind in names
+    ]
+    columns += [f"coalesce(ids.{c}, 0) as {c}" for c in ("magento", "me_web", "se")]
+    columns += [f"ppur.purchased_quantity_last{w}m" for w in WINDOWS]
+    columns += [f"vw.last{w}m_product_view" for w in WINDOWS]
+    for alias, events in (("clk", "banner_clicked"), ("imp", "banner_impression"), ("cmp", "utm_campaign"),
+                          ("med", "utm_medium"), ("src", "utm_source")):
+        columns += [f"{alias}.{c}" for c in topk_names(events)]
+    joins = "\n".join(
+        f"left join {a} on t.customer_entity_id = {a}.customer_entity_id and t.product_id = {a}.product_id"
+        f" and t.purchase_dt = {a}.purchase_dt" for a in feature_sets
+    )
+    matched = " and ".join(f"{a}.customer_entity_id is not null" for a in ("ida", "ids", *feature_sets))
+    body = f"""
+select {", ".join(columns)}
+from replenishment_target t
+left join identity_identifiers idi on t.customer_entity_id = idi.customer_entity_id
+left join products prd on t.product_id = prd.item_id
+left join identity_attributes_raw ida on t.customer_entity_id = ida.customer_entity_id
+left join identity_sources ids on t.customer_entity_id = ids.customer_entity_id
+{joins}
+where t.days_since_last_purchase > 20 and {matched}"""
+    inputs = ["replenishment_target", "product_views", *TOPK, "identity_identifiers", "products",
+              "identity_attributes_raw", "identity_sources"]
+    return with_inputs(inputs, body, **feature_sets)
