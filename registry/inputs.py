@@ -17,6 +17,7 @@ from refillcast.plans.dimensions import (
     identity_source_matrix,
     product_dimension,
 )
+from refillcast.plans.modelling import ModellingInputs, modelling_data
 from refillcast.plans.target import replenishment_target
 from refillcast.session import configure, fresh_path
 
@@ -29,7 +30,6 @@ SPARK_WORDS = {
     "[ship_ts]": "timestamp_seconds(unix_timestamp(cast(l.l_shipdate as timestamp))"
                  " + (l.l_orderkey * 104729 + l.l_linenumber) % 86400)",
     "[event_ts]": "cast(e.ts as timestamp)",
-    "[fmt]": "date_format({0}, 'yyyy-MM-dd HH:mm:ss')",
 }
 DUCK_WORDS = {
     "[order_ts]": "(o.o_orderdate + to_seconds((o.o_orderkey * 7919) % 86400))",
@@ -224,11 +224,15 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return identity_dimension(source(spark, sf_dir, "identity_attributes_raw"))
     if name == "products":
         return product_dimension(source(spark, sf_dir, "product_feed"))
+    if name == "modelling_data":
+        return modelling_data(modelling_inputs(spark, sf_dir))
+    if name == "training_rows":
+        return training_rows(spark, sf_dir)
     return source(spark, sf_dir, name)
 
 
-def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The input as a Parquet table in the shared folder, written once per application.
+def staged_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Path of the input as a Parquet table in the shared folder, written once per application.
 
     The loaders of the engine read tables that lie in storage; composite operators read such a
     table several times, so the star-schema joins behind it should not run each time.
@@ -239,4 +243,43 @@ def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         path = fresh_path(spark, name)
         derived(spark, sf_dir, name).write.parquet(path)
         _STAGED[key] = path
-    return spark.read.parquet(_STAGED[key])
+    return _STAGED[key]
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = staged_path(spark, sf_dir, name)
+    return spark.read.parquet(path)
+
+
+def modelling_inputs(spark: SparkSession, sf_dir: str) -> ModellingInputs:
+    return ModellingInputs(**{
+        field: staged(spark, sf_dir, name)
+        for field, name in {
+            "target": "replenishment_target",
+            "purchases": "transactional_quantity",
+            "views": "product_views",
+            "utm_source": "utm_source",
+            "utm_medium": "utm_medium",
+            "utm_campaign": "utm_campaign",
+            "banner_clicked": "banner_clicked",
+            "banner_impression": "banner_impression",
+            "identifiers": "identity_identifiers",
+            "attributes": "identity_attributes",
+            "sources": "identity_sources",
+            "products": "products",
+        }.items()
+    })
+
+
+TRAINING_SQL = """
+select o.o_orderkey as row_id, ln(o.o_totalprice) as label, c.c_mktsegment as segment, n.n_name as nation,
+       o.o_orderpriority as priority, c.c_acctbal as acctbal, o.o_totalprice / 1000e0 as price,
+       cast(n.n_regionkey as double) as region_no, cast(c.c_custkey as double) as customer_no
+from {orders} o join {customer} c on c.c_custkey = o.o_custkey join {nation} n on n.n_nationkey = c.c_nationkey"""
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order with a label, categories and numbers, for the learning operators."""
+    configure(spark)
+    tables = {t: table(spark, sf_dir, t) for t in ("orders", "customer", "nation")}
+    return spark.sql(TRAINING_SQL, **tables)
