@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refillcast.functions import feature_name, window_start
@@ -81,28 +81,31 @@ def window_sums(
     doubles carry no residue. Totals in ``strict`` leave out the day itself. Output: keys, day,
     ``<total>__<months>``.
     """
-    day = F.col("day")
-    span = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-31 * max(windows), 0)
-    has_events = F.coalesce(*totals).isNotNull()
+    span = (
+        f"over (partition by {', '.join(keys)} order by unix_date(day)"
+        f" range between {31 * max(windows)} preceding and current row)"
+    )
+    listed = f"case when coalesce({', '.join(totals)}) is not null then struct(day, {', '.join(totals)}) end"
     days = day_rows(target, events, keys, event_ts, totals, target_ts)
-    types = {f.name: f.dataType for f in days.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in days.schema.fields}
     seen = (
-        days.withColumn("past", F.collect_list(F.when(has_events, F.struct("day", *totals))).over(span))
+        days.selectExpr(*keys, "day", "is_target", f"collect_list({listed}) {span} as past")
         .where("is_target")
-        .select(*keys, "day", "past", *[window_start(day, m).alias(f"from__{m}") for m in windows])
+        .select(*keys, "day", "past", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
     )
+    # Windows are nested, so a shorter one only looks through the next longer one.
+    longer = "past"
+    for m in sorted(windows, reverse=True):
+        seen = seen.selectExpr("*", f"filter({longer}, p -> p.day >= from__{m}) as in__{m}")
+        longer = f"in__{m}"
 
-    def add(sums: Column, past: Column) -> Column:
-        def part(c: str, m: int) -> Column:
-            inside = past["day"] >= F.col(f"from__{m}")
-            if c in strict:
-                inside = inside & (past["day"] < day)
-            return sums[f"{c}__{m}"] + F.when(inside & past[c].isNotNull(), past[c]).otherwise(F.lit(0).cast(types[c]))
-
-        return F.struct(*[part(c, m).alias(f"{c}__{m}") for c in totals for m in windows])
+    def summed(c: str, m: int) -> str:
+        value = f"coalesce(p.{c}, cast(0 as {types[c]}))"
+        if c in strict:
+            value = f"case when p.day < day then {value} else cast(0 as {types[c]}) end"
+        return f"aggregate(in__{m}, cast(0 as {types[c]}), (total, p) -> total + {value}) as {c}__{m}"
 
-    zero = F.struct(*[F.lit(0).cast(types[c]).alias(f"{c}__{m}") for c in totals for m in windows])
-    return seen.select(*keys, "day", F.aggregate("past", zero, add).alias("sums")).select(*keys, "day", "sums.*")
+    return seen.selectExpr(*keys, "day", *[summed(c, m) for c in totals for m in windows])
 
 
 def slot_history(
@@ -136,8 +139,12 @@ def slot_history(
         .selectExpr("*", f"collect_list(struct({', '.join(listed)})) {span} as past")
         .where("is_target")
         .select("*", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
-        .selectExpr("*", *[f"filter(past, p -> p.day >= from__{m}) as in__{m}" for m in windows])
     )
+    # Windows are nested, so a shorter one only looks through the next longer one.
+    longer = "past"
+    for m in sorted(windows, reverse=True):
+        seen = seen.selectExpr("*", f"filter({longer}, p -> p.day >= from__{m}) as in__{m}")
+        longer = f"in__{m}"
 
     def combined(mask: str, m: int) -> str:
         today = f"{mask} & {(open_bits or {}).get(mask, -1)}L"
