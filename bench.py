@@ -49,7 +49,7 @@ STAGED = [
     "identity_attributes",
     "identity_sources",
     "products",
-    "magento_orders",
+    "shop_orders",
 ]
 
 

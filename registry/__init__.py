@@ -1 +1 @@
-"""Queries over the driver's tables and the SQL they are checked against."""
+"""Queries over the test tables and the SQL they are checked against."""

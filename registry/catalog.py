@@ -141,12 +141,12 @@ def s05(spark, sf):
 
 
 UNTIL = dt.date(2000, 12, 31)
-ORDERS_UNTIL = f"(select * from magento_orders where created_at__item <= timestamp '{UNTIL} 00:00:00')"
+ORDERS_UNTIL = f"(select * from shop_orders where created_at__item <= timestamp '{UNTIL} 00:00:00')"
 
 
-@query("s06_scan_orders", over("magento_orders", f"select * from {ORDERS_UNTIL}"))
+@query("s06_scan_orders", over("shop_orders", f"select * from {ORDERS_UNTIL}"))
 def s06(spark, sf):
-    return scan_orders(spark, staged_path(spark, sf, "magento_orders"), UNTIL)
+    return scan_orders(spark, staged_path(spark, sf, "shop_orders"), UNTIL)
 
 
 @query("s08_write_table", over("identity_identifiers", "select * from {t}"))
@@ -634,15 +634,15 @@ N_ROWS, N_CUSTOMERS = "count(*)", "count(distinct customer_email)"
 
 
 def orders_until(spark, sf):
-    return scan_orders(spark, staged_path(spark, sf, "magento_orders"), UNTIL)
+    return scan_orders(spark, staged_path(spark, sf, "shop_orders"), UNTIL)
 
 
-@query("a06_daily_counts", over("magento_orders", _DAILY.format(N_ROWS)))
+@query("a06_daily_counts", over("shop_orders", _DAILY.format(N_ROWS)))
 def a06(spark, sf):
     return volume.daily_counts(orders_until(spark, sf), "created_at__item")
 
 
-@query("a07_daily_uniques", over("magento_orders", _DAILY.format(N_CUSTOMERS)))
+@query("a07_daily_uniques", over("shop_orders", _DAILY.format(N_CUSTOMERS)))
 def a07(spark, sf):
     return volume.daily_uniques(orders_until(spark, sf), "created_at__item", "customer_email")
 
@@ -726,7 +726,7 @@ def w02(spark, sf):
     )
 
 
-@query("w03_monthly_mean", over("magento_orders", f"""
+@query("w03_monthly_mean", over("shop_orders", f"""
 select created_at, tmp_value, round(avg(tmp_value) over (partition by year(created_at), month(created_at)), 6)
        as month_mean from ({_DAILY.format(N_ROWS)})"""))
 def w03(spark, sf):
@@ -757,7 +757,7 @@ select created_at, 'n_emails', tmp_value::double from ({0})"""
 
 
 def series_sql(metric: str) -> str:
-    return over("magento_orders", _SERIES.format(_DAILY.format(metric)))
+    return over("shop_orders", _SERIES.format(_DAILY.format(metric)))
 
 
 def series(spark, sf, metric):
@@ -789,7 +789,7 @@ def r03(spark, sf):
     return reshape.unpivot_windows(quantity_features(spark, sf), TARGET_KEY, _QTY_COLS)
 
 
-@query("r04_long_union", over("magento_orders", f"""
+@query("r04_long_union", over("shop_orders", f"""
 select created_at, 'rows' as val_type, tmp_value from ({_DAILY.format(N_ROWS)}) union all
 select created_at, 'customers', tmp_value from ({_DAILY.format(N_CUSTOMERS)})"""))
 def r04(spark, sf):
@@ -850,7 +850,8 @@ def c08(spark, sf):
 
 
 def rounded_modelling_data(spark, sf):
-    wide = modelling.modelling_data(modelling_inputs(spark, sf))
+    spec = modelling.ModellingSpec(staging=fresh_path(spark, "covered"))
+    wide = modelling.modelling_data(modelling_inputs(spark, sf), spec)
     return wide.withColumns({
         c: F.round(c, 6) for c in ("log_days_since_last_purchase", "longterm_average_since_last_purchase")
     })

@@ -1,4 +1,4 @@
-"""Reference-shaped inputs derived from the driver's star-schema tables.
+"""Inputs in the shape of the exports, derived from the star-schema test tables.
 
 Each input is one SQL text that both engines read; only time arithmetic differs by dialect.
 The texts shape inputs only: what the operators compute from them is written separately for
@@ -180,7 +180,7 @@ from {events} e""",
 select cast(e.user_id as string) as customer_entity_id, [event_ts] as search_dt,
        e.event_type as keywords, e.props as n_results
 from {events} e""",
-    "magento_orders": """
+    "shop_orders": """
 select cast(o.o_custkey as string) as customer_email, cast(l.l_partkey as string) as product_id__item,
        [order_ts] as created_at__item
 from {lineitem} l join {orders} o on o.o_orderkey = l.l_orderkey""",
