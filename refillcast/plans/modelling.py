@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refillcast.functions import fill_defaults
-from refillcast.operators.joins import join_dim, require_all
+from refillcast.operators.joins import join_hot
 from refillcast.operators.reshape import long_union
 from refillcast.operators.trailing import (
     CUSTOMER,
@@ -110,15 +110,14 @@ def customer_frame(inputs: ModellingInputs) -> DataFrame:
 
     Customers without attributes or sources are left out; duplicate rows fan out.
     """
-    covered = require_all(inputs.sources, inputs.attributes, key=CUSTOMER)
-    return join_dim(covered, inputs.identifiers, CUSTOMER)
+    return inputs.sources.join(inputs.attributes, CUSTOMER).join(inputs.identifiers, CUSTOMER, "left")
 
 
 def covered_target(inputs: ModellingInputs, min_gap_days: float) -> DataFrame:
     """Target rows that reach the output, with ``weight`` output rows each."""
     weights = customer_frame(inputs).groupBy(CUSTOMER).agg(F.count(F.lit(1)).alias("weight"))
     live = inputs.target.dropna(subset=list(TARGET_KEY)).where(F.col(GAP) > min_gap_days)
-    return live.join(weights, CUSTOMER).withColumn("day", F.to_date("purchase_dt"))
+    return join_hot(live, weights, CUSTOMER, "inner").withColumn("day", F.to_date("purchase_dt"))
 
 
 def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -> DataFrame:
@@ -134,17 +133,19 @@ def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -
         covered.write.mode("overwrite").parquet(spec.staging)
         covered = covered.sparkSession.read.parquet(spec.staging)
 
-    products = join_dim(product_mean_gap(covered, "weight"), inputs.products, "product_id", "item_id")
+    dimension = inputs.products.withColumnRenamed("item_id", "product_id")
+    products = product_mean_gap(covered, "weight").join(dimension, "product_id", "left")
     of_product = product_totals(covered, inputs.purchases, inputs.views, spec.windows)
     channels = [(getattr(spec, name), getattr(inputs, name)) for name in spec.channels]
     of_customer = channel_totals(covered, channels, spec.windows)
     customers = of_customer.join(customer_frame(inputs), CUSTOMER)
 
-    joined = (
-        covered.join(target_copies(inputs.target), list(TARGET_KEY))
-        .join(of_product, [CUSTOMER, "product_id", "day"])
-        .join(products, "product_id")
-        .join(customers, [CUSTOMER, "day"])
+    # One row per target key before the target's own, possibly repeated, rows join.
+    of_key = target_copies(inputs.target).withColumn("day", F.to_date("purchase_dt")).join(
+        of_product, [CUSTOMER, "product_id", "day"]
+    ).drop("day")
+    joined = join_hot(covered.join(of_key, list(TARGET_KEY)), products, "product_id", "inner").join(
+        customers, [CUSTOMER, "day"]
     )
     copies = F.col("copies")
     attributes = [name for name, _ in IDENTITY_ATTRIBUTES]

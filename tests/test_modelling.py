@@ -124,3 +124,29 @@ def test_feature_plans_have_no_cross_join(inputs):
 def test_target_is_filtered_before_feature_work(inputs):
     plan = modelling_data(inputs)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("days_since_last_purchase") and "> 20.0" in plan
+
+
+def test_hot_key_is_split_even_against_an_aggregate(spark):
+    """A side that an aggregate left partitioned by the key still lets a hot partition split."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 120000, 1, 6).selectExpr(
+            "if(id % 2 = 0, 'hot', cast(id as string)) as k", "uuid() as payload")
+        right = spark.range(0, 120000, 1, 6).selectExpr(
+            "if(id % 2 = 0, 'hot', cast(id as string)) as k").groupBy("k").count()
+        plan = joins.join_hot(left, right, "k", "inner")._jdf.queryExecution()
+        assert plan.toRdd().count() == 120000
+        assert "skew=true" in plan.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
