@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def as_bytes(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
 def bounded(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that one holds about ``most`` bytes of the column, or one row."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = size = 0
         for i, n in enumerate(lengths.tolist()):
             if size and size + n > most:

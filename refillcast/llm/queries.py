@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, rules, shards
+from refillcast.llm import chat, rules, shards, simhash
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,9 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").where("quality is not null").select("doc_id", (F.col("quality") == 0).alias("bad"))
     labelled = staged(stats.where(~F.col("base_failed")).join(labels, "doc_id"), "rule-labels")
     return rules.quality_verdicts(stats, rules.learn_rules(labelled))
+
+
+@query("op4_pivot_simhash")
+def op4_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
