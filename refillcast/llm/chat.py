@@ -49,11 +49,16 @@ def conversation_examples(
     segments = (
         turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), who.alias("role"), plain.alias("plain"),
                      F.concat(head, escape(plain), F.lit(END)).alias("segment"), F.char_length(head).alias("head_chars"))
-        .withColumn("stop", F.sum(F.char_length("segment")).over(in_order).cast("int"))
+        .withColumn("chars", F.char_length("segment"))
+        .withColumn("stop", F.sum("chars").over(in_order).cast("int"))
+        .withColumn("total", F.sum("chars").over(Window.partitionBy("conv_id")))
+        .withColumn("reply", F.col("role") == ASSISTANT)
         .select("conv_id", F.struct(
             "stop",
-            (F.col("role") == ASSISTANT).alias("reply"),
-            (F.col("stop") - F.char_length("segment") + F.col("head_chars")).alias("loss_start"),
+            "reply",
+            (F.col("stop") - F.col("chars") + F.col("head_chars")).alias("loss_start"),
+            # A reply ends an example; so does the last turn, whoever speaks.
+            (F.col("reply") | (F.col("stop") == F.col("total"))).alias("ends"),
             "segment",
         ).alias("t"))
     )
@@ -61,11 +66,11 @@ def conversation_examples(
         segments.groupBy("conv_id")
         .agg(F.array_sort(F.collect_list("t")).alias("turns"))
         .withColumn("formatted", F.array_join(F.transform("turns", lambda t: t["segment"]), ""))
-        .withColumn("spans", F.transform("turns", lambda t: F.struct(t["reply"], t["stop"], t["loss_start"])))
+        .withColumn("spans", F.transform(
+            F.filter("turns", lambda t: t["ends"]), lambda t: F.struct(t["reply"], t["stop"], t["loss_start"])))
     )
-    kept = F.filter("spans", lambda s: s["reply"] | (s["stop"] == F.char_length("formatted")))
     examples = (
-        whole.select("conv_id", "formatted", F.size(kept).alias("n_examples"), F.posexplode(kept).alias("example", "s"))
+        whole.select("conv_id", "formatted", F.size("spans").alias("n_examples"), F.posexplode("spans").alias("example", "s"))
         .withColumn("text", F.substring("formatted", 1, F.col("s.stop")))
     )
     loss = F.when(F.col("s.reply"), F.col("s.stop") - F.col("s.loss_start") - len(END)).otherwise(0)
