@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, rules, shards, simhash, toxicity
+from refillcast.llm import chat, repeats, rules, shards, simhash, toxicity
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,8 @@ def op4_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_classifier_chain")
 def op6_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op10_suffix_repeats")
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
