@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, repeats, rules, shards, simhash, toxicity
+from refillcast.llm import chat, html, repeats, rules, shards, simhash, toxicity
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,8 @@ def op6_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_repeats")
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op9_host_paths")
+def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages")).drop("path")
