@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, html, repeats, rules, shards, simhash, toxicity
+from refillcast.llm import chat, html, repeats, rules, secrets, shards, simhash, toxicity
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_host_paths")
 def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages")).drop("path")
+
+
+@query("op8_inferred_grammars")
+def op8_inferred_grammars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(read(spark, sf_dir, "documents")))
