@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, html, repeats, rules, secrets, shards, simhash, toxicity
+from refillcast.llm import chat, decontaminate, html, repeats, rules, secrets, shards, simhash, toxicity
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,8 @@ def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_inferred_grammars")
 def op8_inferred_grammars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(read(spark, sf_dir, "documents")))
+
+
+@query("op2_seeded_alignment")
+def op2_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
