@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, decontaminate, html, repeats, rules, secrets, shards, simhash, toxicity
+from refillcast.llm import chat, decontaminate, html, mixing, repeats, rules, secrets, shards, simhash, toxicity
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op8_inferred_grammars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_seeded_alignment")
 def op2_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op1_soft_mixing")
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.label_domains(read(spark, sf_dir, "labels"))
+    return mixing.mix(read(spark, sf_dir, "documents"), labels, mixing.WEIGHTS)
