@@ -23,12 +23,14 @@ import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from refillcast.llm.common import as_bytes, bounded, staged
 
@@ -236,8 +238,11 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     return out
 
 
-def score_chain(docs: DataFrame, names: list[str], models: list[np.ndarray], spec: ChainSpec = ChainSpec()) -> DataFrame:
-    """Columns doc_id and one probability per category (``p_`` and its name)."""
+def score_chain(
+    docs: DataFrame, names: list[str], models: list[np.ndarray], spec: ChainSpec = ChainSpec(),
+    keep: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """The kept columns and one probability per category (``p_`` and its name)."""
     n_slots = 1 << spec.bits
     # Of fixed size: a weight per slot and category.
     shared = docs.sparkSession.sparkContext.broadcast([m.astype(np.float32) for m in models])
@@ -253,16 +258,19 @@ def score_chain(docs: DataFrame, names: list[str], models: list[np.ndarray], spe
                     odds.append(min(max(z, -30.0), 30.0))
                     column.append(float(sigmoid(odds[-1])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.float64()) for c in columns)],
-                ["doc_id", *(f"p_{n}" for n in names)])
+                [*(batch.column(c) for c in keep), *(pa.array(c, pa.float64()) for c in columns)],
+                [*keep, *(f"p_{n}" for n in names)])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, ", ".join([f"doc_id {kind}", *(f"p_{n} double" for n in names)]))
+    kept = T.StructType([docs.schema[c] for c in keep])
+    schema = reduce(lambda t, n: t.add(f"p_{n}", "double"), names, kept)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, spec: ChainSpec = ChainSpec()) -> DataFrame:
-    """Columns doc_id, p_low_quality, p_toxic, rejected: the chain of both label columns."""
+def toxicity(
+    docs: DataFrame, labels: DataFrame, spec: ChainSpec = ChainSpec(), keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """The kept columns, p_low_quality, p_toxic, rejected: the chain of both label columns."""
     categories = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
     models = fit_chain(docs, labels, categories, spec)
-    scored = score_chain(docs, list(categories), models, spec)
+    scored = score_chain(docs, list(categories), models, spec, keep)
     return scored.withColumn("rejected", F.col("p_toxic") >= spec.threshold)
