@@ -201,7 +201,10 @@ def fold_fit(name: str, k: int, spec: ChainSpec) -> Callable[[pd.DataFrame], pd.
         scored = [
             [*odds[i], float(np.clip(w[slots[i]].sum() + odds[i] @ w[n_slots:-1] + w[-1], -30, 30))]
             for i in np.flatnonzero(held)]
-        return pd.DataFrame({"doc_id": part["doc_id"][held], "odds": scored, "weights": None})
+        # Object columns, also where no row is held back: Arrow makes no lists of other ones.
+        return pd.DataFrame({
+            "doc_id": part["doc_id"][held].reset_index(drop=True), "odds": pd.Series(scored, dtype=object),
+            "weights": pd.Series([None] * len(scored), dtype=object)})
 
     return fit
 
