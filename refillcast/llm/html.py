@@ -1,10 +1,11 @@
 """Main text of web pages by consensus paths of their hosts.
 
 1. Every page's containers are scored: characters of content inside, less twice the characters of
-   menus, notices and the like. A container is named by its path of tags and classes, digits
+   menus, notices and the like, times a bonus for elements marked as articles. A container is named by its path of tags and classes, digits
    generalised.
-2. The containers vote, in thousandths of the page's best score; votes are summed per host and path, and the host's
-   winner is its most voted path (ties: the longer path, then the greater one).
+2. A page votes for the path of its best container (ties: the innermost, then the first). Votes are
+   summed per host and path; the host's winner is its most voted path (ties: the longer, then the
+   greater one).
 3. Pages are read again. Their text is what the winning path holds, without boilerplate inside; a
    page that has no such container uses its own best one.
 
@@ -73,7 +74,7 @@ DEPTH = 12
 class Element:
     __slots__ = ("tag", "parent", "labels", "boiler", "good", "bad", "bonus", "within")
 
-    def __init__(self, tag: str, parent: Element | None, label: str, boiler: bool, bonus: bool):
+    def __init__(self, tag: str, parent: Element | None, label: str, boiler: bool, bonus: float):
         self.tag, self.parent, self.boiler, self.bonus = tag, parent, boiler, bonus
         # The nearest labels: deep nesting must not make long paths.
         self.labels = (*parent.labels[1 - DEPTH :], label) if parent is not None else ()
@@ -86,22 +87,25 @@ class Element:
 
     @property
     def score(self) -> float:
-        return (self.good - 2 * self.bad) * (1.1 if self.bonus else 1.0)
+        return (self.good - 2 * self.bad) * self.bonus
 
 
 def described(tag: str, attrs: str, parent: Element | None) -> Element:
     """The element of an opening tag: its path, and whether it is boilerplate."""
-    label, boiler, words = tag, tag in BOILERPLATE or (parent is not None and parent.boiler), ()
-    bonus = tag in ("article", "main")
+    label, boiler, words = tag, tag in BOILERPLATE or (parent is not None and parent.boiler), frozenset()
+    bonus = {"article": 1.5, "main": 1.3}.get(tag, 1.0)
     if attrs:
         found = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
         if "class" in found:
             names = sorted({re.sub(r"\d+", "#", c) for c in found["class"].split()})
             label = ".".join([tag, *names])
         words = {w.lower() for v in found.values() for w in _PARTS.findall(v)}
-        bonus = bonus or found.get("role") == "main" or found.get("itemprop") == "articleBody"
-        if tag not in ROOTS and (words & HINTS or _HIDDEN.search(attrs)) and not bonus:
+        if found.get("itemprop") == "articleBody" or found.get("role") in ("main", "article"):
+            bonus = 1.5
+        elif tag not in ROOTS and (words & HINTS or _HIDDEN.search(attrs)):
             boiler = True
+        elif bonus == 1.0 and tag in CONTAINERS - ROOTS and words & OWN:
+            bonus = 1.2
     # A header inside an article, or named as one of its parts, holds its headline.
     if tag == "header" or "header" in words and tag not in ROOTS:
         inside = parent is not None and (parent.within or parent.tag in ("article", "main"))
@@ -111,7 +115,7 @@ def described(tag: str, attrs: str, parent: Element | None) -> Element:
 
 def parse(source: str) -> tuple[list[Element], list[tuple[Element, str]]]:
     """Elements in page order and text blocks with the element that holds them."""
-    root = Element("", None, "", False, False)
+    root = Element("", None, "", False, 1.0)
     elements, blocks, stack = [root], [], [root]
     pieces: list[str] = []
     owner, linked, anchors, opened, at = root, 0, 0, {}, 0
@@ -220,17 +224,10 @@ def best_container(elements: list[Element]) -> Element:
     return best
 
 
-def votes(elements: list[Element]) -> dict[str, int]:
-    """Thousandths of the best score, per path; what has under half of it does not vote."""
-    best, out = best_container(elements), {}
-    if best.score <= 0:
-        return out
-    for e in elements[1:]:
-        if e.tag in CONTAINERS and not e.boiler:
-            share = int(1000 * e.score / best.score)
-            if share >= 500:
-                out[e.path] = max(out.get(e.path, 0), share)
-    return out
+def vote(elements: list[Element]) -> str | None:
+    """The path a page votes for: its best container's, none without content."""
+    best = best_container(elements)
+    return best.path if best.score > 0 and best.labels else None
 
 
 def main_text(elements: list[Element], blocks: list[tuple[Element, str]], path: str | None) -> str:
@@ -262,8 +259,9 @@ def host_paths(pages: DataFrame) -> DataFrame:
             # One batch's votes are added up before they leave the task.
             counts: dict[tuple[str, str], int] = {}
             for host, page in zip(batch.column("host"), _decoded(batch.column("html"))):
-                for path, share in votes(parse(page)[0]).items():
-                    counts[host.as_py(), path] = counts.get((host.as_py(), path), 0) + share
+                path = vote(parse(page)[0])
+                if path:
+                    counts[host.as_py(), path] = counts.get((host.as_py(), path), 0) + 1
             rows = [(h, p, n) for (h, p), n in counts.items()]
             columns = list(zip(*rows)) or [(), (), ()]
             kinds = (pa.string(), pa.string(), pa.int64())
