@@ -46,7 +46,7 @@ STAGED = [
     "product_views",
     *oracle.TOPK,
     "identity_identifiers",
-    "identity_attributes",
+    "identity_attributes_known",
     "identity_sources",
     "products",
     "shop_orders",
@@ -65,7 +65,7 @@ def median_time(build) -> float:
 def plain_queries(spark) -> dict[str, str]:
     """The definition of each feature set as Spark SQL over views of the staged inputs."""
     for name in STAGED:
-        view = "identity_attributes_raw" if name == "identity_attributes" else name
+        view = name
         inputs.staged(spark, SF_DIR, name).createOrReplaceTempView(view)
     oracle.months_between = lambda a, b: f"months_between({a}, {b})"
     wide = oracle.modelling_data(IDENTITY_ATTRIBUTES)

@@ -45,22 +45,30 @@ def day_rows(
     event_ts: str,
     totals: dict[str, Column],
     target_ts: str = TARGET_TS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key and day with target rows or events: ``is_target`` and the day's totals.
 
     ``totals`` are aggregates over the event columns that ignore NULL. Targets and events meet
-    in one aggregate whose partial sums run before the exchange on (key, day).
+    in one aggregate whose partial sums run before the exchange on (key, day). ``carry`` names
+    target columns to keep per day as the list ``carried``: of rows that are already distinct,
+    at most one per second of the day and value.
     """
-    carried = [c for c in events.columns if c not in (*keys, event_ts)]
+    own = [c for c in events.columns if c not in (*keys, event_ts)]
+    held = F.struct(*carry) if carry else F.lit(None)
+    mine = target.select(*keys, F.to_date(target_ts).alias("day"), F.lit(True).alias("is_target"), held.alias("carried"))
     return (
-        target.select(*keys, F.to_date(target_ts).alias("day"), F.lit(True).alias("is_target"))
-        .unionByName(
-            events.select(*keys, F.to_date(event_ts).alias("day"), F.lit(False).alias("is_target"), *carried),
+        mine.unionByName(
+            events.select(*keys, F.to_date(event_ts).alias("day"), F.lit(False).alias("is_target"), *own),
             allowMissingColumns=True,
         )
         .dropna(subset=[*keys, "day"])
         .groupBy(*keys, "day")
-        .agg(F.max("is_target").alias("is_target"), *[t.alias(name) for name, t in totals.items()])
+        .agg(
+            F.max("is_target").alias("is_target"),
+            *([F.collect_list("carried").alias("carried")] if carry else []),
+            *[t.alias(name) for name, t in totals.items()],
+        )
     )
 
 
@@ -73,25 +81,27 @@ def window_sums(
     windows: Sequence[int] = WINDOWS,
     strict: Collection[str] = (),
     target_ts: str = TARGET_TS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Totals over every trailing window, for every (key, day) of the target; few totals.
 
     Each target day sees the day rows of the longest window as one list, at most one entry per
     calendar day, and adds up the entries of each window. Nothing is subtracted, so sums of
     doubles carry no residue. Totals in ``strict`` leave out the day itself. Output: keys, day,
-    ``<total>__<months>``.
+    ``carried`` if target columns are to be kept, ``<total>__<months>``.
     """
     span = (
         f"over (partition by {', '.join(keys)} order by unix_date(day)"
         f" range between {31 * max(windows)} preceding and current row)"
     )
     listed = f"case when coalesce({', '.join(totals)}) is not null then struct(day, {', '.join(totals)}) end"
-    days = day_rows(target, events, keys, event_ts, totals, target_ts)
+    days = day_rows(target, events, keys, event_ts, totals, target_ts, carry)
     types = {f.name: f.dataType.simpleString() for f in days.schema.fields}
+    kept = ["day", "carried"] if carry else ["day"]
     seen = (
-        days.selectExpr(*keys, "day", "is_target", f"collect_list({listed}) {span} as past")
+        days.selectExpr(*keys, *kept, "is_target", f"collect_list({listed}) {span} as past")
         .where("is_target")
-        .select(*keys, "day", "past", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
+        .select(*keys, *kept, "past", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
     )
     # Windows are nested, so a shorter one only looks through the next longer one.
     longer = "past"
@@ -105,60 +115,72 @@ def window_sums(
             value = f"case when p.day < day then {value} else cast(0 as {types[c]}) end"
         return f"aggregate(in__{m}, cast(0 as {types[c]}), (total, p) -> total + {value}) as {c}__{m}"
 
-    return seen.selectExpr(*keys, "day", *[summed(c, m) for c in totals for m in windows])
+    return seen.selectExpr(*keys, *kept, *[summed(c, m) for c in totals for m in windows])
 
 
 def slot_history(
     days: DataFrame,
     keys: Sequence[str],
     counted: Sequence[str] = (),
-    masks: Sequence[str] = (),
+    masks: Mapping[str, int] | None = None,
     windows: Sequence[int] = WINDOWS,
     strict: Collection[str] = (),
     open_bits: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Many whole-number totals of ``day_rows`` at once, for every (key, day) of the target.
 
-    ``masks`` are 64-bit columns with one bit per total that only asks whether a window holds
-    any event; a window combines the masks of its days. ``counted`` totals are differences of
-    two running totals: a target day looks up the totals before the first day row of each
-    window. The day itself counts except for totals in ``strict`` and for mask bits missing
-    from ``open_bits``. Output: keys, day, ``<mask>__<months>``, ``<counted>__<months>``. SQL
-    text keeps a few hundred columns quick to build.
+    ``masks`` names 64-bit columns and how many of their bits are in use; each bit only asks
+    whether a window holds any event, so the last day the bit was set tells for every window.
+    ``counted`` totals are differences of two running totals: every target day adds one row at
+    the start of each window, which sees the total of the days before. Both are running values
+    of one sort per key, and nothing is listed. The day itself counts except for totals in
+    ``strict`` and for mask bits missing from ``open_bits``. Output: keys, day,
+    ``<mask>__<months>``, ``<counted>__<months>``. SQL text keeps a few hundred columns quick
+    to build.
     """
-    over = f"over (partition by {', '.join(keys)} order by unix_date(day) range between"
-    upto = f"{over} unbounded preceding and current row)"
-    span = f"{over} {31 * max(windows)} preceding and current row)"
-    before = ", ".join(f"sum({c}) {upto} - {c}" for c in counted)
-    closing = ", ".join("0L" if c in strict else c for c in counted)
-    arrays = [f"array({before}) as before", f"array({closing}) as closing"] if counted else []
-    listed = ["day", *masks, *(["before"] if counted else [])]
-    seen = (
+    masks = masks or {}
+    key = ", ".join(keys)
+    starts = ", ".join(f"struct(from__{m} as at, {m} as w)" for m in windows) if counted else ""
+    own = "struct(day as at, 0 as w)"
+    marked = f"case when is_target then array({own}{', ' + starts if starts else ''}) else array({own}) end"
+    rows = (
         days.na.fill(0, [*counted, *masks])
-        .selectExpr(*keys, "day", "is_target", *masks, *arrays)
-        .selectExpr("*", f"collect_list(struct({', '.join(listed)})) {span} as past")
-        .where("is_target")
         .select("*", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
+        .selectExpr("*", f"inline({marked})")
     )
-    # Windows are nested, so a shorter one only looks through the next longer one.
-    longer = "past"
-    for m in sorted(windows, reverse=True):
-        seen = seen.selectExpr("*", f"filter({longer}, p -> p.day >= from__{m}) as in__{m}")
-        longer = f"in__{m}"
+    # At the same day the start of a window comes before the events of the day.
+    upto = f"over (partition by {key} order by unix_date(at), w = 0 rows between unbounded preceding and"
+    bits = [(mask, bit) for mask, used in masks.items() for bit in range(used)]
+
+    def last_day(mask: str, bit: int) -> str:
+        end = "current row" if (open_bits or {}).get(mask, -1) >> bit & 1 else "1 preceding"
+        return f"max(case when w = 0 and {mask} & {1 << bit}L <> 0 then at end) {upto} {end}) as last__{mask}_{bit}"
+
+    running = rows.selectExpr(
+        *keys, "day", "w", "is_target", *[f"from__{m}" for m in windows],
+        *[f"sum(case when w = 0 then {c} else 0L end) {upto} current row)"
+          f"{f' - case when w = 0 then {c} else 0L end' if c in strict else ''} as run__{c}" for c in counted],
+        *[last_day(mask, bit) for mask, bit in bits],
+    ).where("w > 0 or is_target")
+    names = [f"from__{m}" for m in windows] + [f"last__{mask}_{bit}" for mask, bit in bits]
+    if counted:
+        # The rows of a target day lie in one partition already.
+        seen = running.groupBy(*keys, "day").agg(
+            *[F.expr(f"max(case when w = 0 then {n} end)").alias(n) for n in names],
+            *[F.expr(f"max(case when w = {m} then run__{c} end)").alias(f"run__{c}__{m}") for c in counted for m in (0, *windows)],
+        )
+    else:
+        seen = running
 
     def combined(mask: str, m: int) -> str:
-        today = f"{mask} & {(open_bits or {}).get(mask, -1)}L"
-        earlier = f"aggregate(in__{m}, 0L, (bits, p) -> bits | case when p.day < day then p.{mask} else 0L end)"
-        return f"{earlier} | ({today}) as {mask}__{m}"
+        held = [f"case when last__{mask}_{bit} >= from__{m} then {1 << bit}L else 0L end" for bit in range(masks[mask])]
+        return f"{' | '.join(held) or '0L'} as {mask}__{m}"
 
     return seen.selectExpr(
         *keys,
         "day",
         *[combined(mask, m) for mask in masks for m in windows],
-        *[
-            f"before[{i}] + closing[{i}] - in__{m}[0].before[{i}] as {c}__{m}"
-            for i, c in enumerate(counted) for m in windows
-        ],
+        *[f"run__{c}__0 - run__{c}__{m} as {c}__{m}" for c in counted for m in windows],
     )
 
 
@@ -182,6 +204,31 @@ def per_target(
     )
 
 
+def _key_totals(
+    target: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    totals: dict[str, Column],
+    windows: Sequence[int],
+    strict: Collection[str],
+    outputs: dict[str, Column],
+) -> DataFrame:
+    """One row per target key with totals of the key; ``outputs`` may use ``copies``.
+
+    The target's own rows, counted once, ride in the day aggregate as a list and come out of it
+    again, so they need no join. Keys without a customer, product or time match nothing.
+    """
+    copies = target_copies(target)
+    rest = [c for c in TARGET_KEY if c not in keys]
+    found = window_sums(copies, events, keys, "event_ts", totals, windows, strict, carry=[*rest, "copies"])
+    whole = found.select("*", F.inline("carried")).select(*TARGET_KEY, *[v.alias(n) for n, v in outputs.items()])
+    incomplete = copies.where(" or ".join(f"{c} is null" for c in (*keys, TARGET_TS)))
+    zero = found.schema
+    none = [F.lit(0).cast(f.dataType).alias(f.name) for f in zero.fields if f.name not in (*keys, "day", "carried")]
+    return whole.unionByName(
+        incomplete.select("*", *none).select(*TARGET_KEY, *[v.alias(n) for n, v in outputs.items()]))
+
+
 def trailing_sum(
     target: DataFrame,
     events: DataFrame,
@@ -195,21 +242,12 @@ def trailing_sum(
     """Sum of ``value`` per window, once per target row with the key; no events give 0."""
     values = events.select(*keys, F.col(event_ts).alias("event_ts"), F.col(value).cast("double").alias("value"))
     sums = {"total": F.sum("value")}
-    totals = window_sums(target, values, keys, "event_ts", sums, windows, () if include_zero else sums)
-    return per_target(target, totals, keys, {
+    return _key_totals(target, values, keys, sums, windows, () if include_zero else sums, {
         f"{prefix}_last{m}m": F.coalesce(F.col(f"total__{m}"), F.lit(0.0)) * F.col("copies")
         for m in windows
     })
 
 
-def _event_counts(
-    target: DataFrame, events: DataFrame, keys: Sequence[str], event_ts: str, windows: Sequence[int], include_zero: bool
-) -> DataFrame:
-    ones = events.select(*keys, F.col(event_ts).alias("event_ts"), F.lit(1).alias("one"))
-    counts = {"n": F.sum("one")}
-    return window_sums(target, ones, keys, "event_ts", counts, windows, () if include_zero else counts)
-
-
 def trailing_count(
     target: DataFrame,
     events: DataFrame,
@@ -218,12 +256,21 @@ def trailing_count(
     event_ts: str,
     windows: Sequence[int] = WINDOWS,
     include_zero: bool = True,
+    flag: bool = False,
 ) -> DataFrame:
-    """Number of events per window, once per target row with the key; no events give 0."""
-    totals = _event_counts(target, events, keys, event_ts, windows, include_zero)
-    return per_target(target, totals, keys, {
-        f"last{m}m_{suffix}": F.coalesce(F.col(f"n__{m}"), F.lit(0)) * F.col("copies") for m in windows
-    })
+    """Number of events per window, once per target row with the key; no events give 0.
+
+    With ``flag``: 1 where the window holds any event, else 0.
+    """
+    ones = events.select(*keys, F.col(event_ts).alias("event_ts"), F.lit(1).alias("one"))
+    counts = {"n": F.sum("one")}
+
+    def output(m: int) -> Column:
+        n = F.coalesce(F.col(f"n__{m}"), F.lit(0))
+        return (n > 0).cast("long") if flag else n * F.col("copies")
+
+    return _key_totals(target, ones, keys, counts, windows, () if include_zero else counts, {
+        f"last{m}m_{suffix}": output(m) for m in windows})
 
 
 def trailing_flag(
@@ -236,10 +283,7 @@ def trailing_flag(
     include_zero: bool = True,
 ) -> DataFrame:
     """1 where the window holds any event of the key, else 0."""
-    totals = _event_counts(target, events, keys, event_ts, windows, include_zero)
-    return per_target(target, totals, keys, {
-        f"last{m}m_{suffix}": (F.coalesce(F.col(f"n__{m}"), F.lit(0)) > 0).cast("long") for m in windows
-    })
+    return trailing_count(target, events, keys, suffix, event_ts, windows, include_zero, flag=True)
 
 
 @dataclass(frozen=True)
@@ -336,7 +380,7 @@ def channel_totals(
         days,
         [CUSTOMER],
         counted=[s.column for s in counted],
-        masks=masks,
+        masks={mask: sum(s.column == mask for s in slots) for mask in masks},
         windows=windows,
         strict=[s.column for s in counted if not s.channel.include_zero],
         open_bits={

@@ -114,9 +114,13 @@ def customer_frame(inputs: ModellingInputs) -> DataFrame:
 
 
 def covered_target(inputs: ModellingInputs, min_gap_days: float) -> DataFrame:
-    """Target rows that reach the output, with ``weight`` output rows each."""
+    """Target rows that reach the output: ``weight`` output rows each, ``copies`` rows of their key.
+
+    Copies count all rows of the target key, also those whose gap is too short.
+    """
     weights = customer_frame(inputs).groupBy(CUSTOMER).agg(F.count(F.lit(1)).alias("weight"))
-    live = inputs.target.dropna(subset=list(TARGET_KEY)).where(F.col(GAP) > min_gap_days)
+    keyed = inputs.target.dropna(subset=list(TARGET_KEY))
+    live = keyed.where(F.col(GAP) > min_gap_days).join(target_copies(keyed), list(TARGET_KEY))
     return join_hot(live, weights, CUSTOMER, "inner").withColumn("day", F.to_date("purchase_dt"))
 
 
@@ -140,11 +144,8 @@ def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -
     of_customer = channel_totals(covered, channels, spec.windows)
     customers = of_customer.join(customer_frame(inputs), CUSTOMER)
 
-    # One row per target key before the target's own, possibly repeated, rows join.
-    of_key = target_copies(inputs.target).withColumn("day", F.to_date("purchase_dt")).join(
-        of_product, [CUSTOMER, "product_id", "day"]
-    ).drop("day")
-    joined = join_hot(covered.join(of_key, list(TARGET_KEY)), products, "product_id", "inner").join(
+    # Every row of the covered target, repeated ones too, takes the totals of its key and day.
+    joined = join_hot(covered.join(of_product, [CUSTOMER, "product_id", "day"]), products, "product_id", "inner").join(
         customers, [CUSTOMER, "day"]
     )
     copies = F.col("copies")
@@ -155,6 +156,7 @@ def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -
     }
     viewed = {f"last{m}m_product_view": F.col(f"viewed__{m}") * copies for m in spec.windows}
     slots = channel_outputs([channel for channel, _ in channels], spec.windows)
+    banners = {n: v for n, v in slots.items() if n.endswith("_banner")}
     return filled.select(
         *TARGET_KEY,
         LAST,
@@ -166,5 +168,5 @@ def modelling_data(inputs: ModellingInputs, spec: ModellingSpec | None = None) -
         "price",
         *attributes,
         *spec.sources,
-        *[value.alias(name) for name, value in {**bought, **viewed, **slots}.items()],
+        *[value.alias(name) for name, value in {**bought, **banners, **viewed, **slots}.items()],
     )

@@ -20,21 +20,25 @@ def with_gap(target: DataFrame) -> DataFrame:
 def previous_purchase(purchases: DataFrame) -> DataFrame:
     """Distinct purchase times per (customer, product) with the time before; NULL for the first.
 
-    The lag runs inside one day, which holds at most one row per second, and then over the
-    last purchase of each day, so no window grows with the rows of a hot customer.
+    Times meet per day first, as a set of at most one entry per second; the lag then runs over
+    days, so no window grows with the rows of a hot customer. NULL times form a day of their own,
+    before all others, whose one row has no time to hand on.
     """
     product = [CUSTOMER, "product_id"]
-    daily = [*product, "day"]
-    times = purchases.select(*TARGET_KEY).distinct().withColumn("day", F.to_date("purchase_dt"))
-    in_day = times.withColumn("before", F.lag("purchase_dt").over(Window.partitionBy(*daily).orderBy("purchase_dt")))
-    day_ends = (
-        times.groupBy(*daily)
-        .agg(F.max("purchase_dt").alias("day_end"))
-        .select(*daily, F.lag("day_end").over(Window.partitionBy(*product).orderBy("day")).alias("before_day"))
-    )
-    return in_day.join(day_ends, daily, "left").select(
-        *TARGET_KEY, F.coalesce("before", "before_day").alias(LAST)
+    days = (
+        purchases.select(*TARGET_KEY)
+        .groupBy(*product, F.to_date("purchase_dt").alias("day"))
+        .agg(F.array_sort(F.collect_set("purchase_dt")).alias("times"))
     )
+    before = F.lag(F.element_at("times", F.when(F.size("times") > 0, F.lit(-1)))).over(
+        Window.partitionBy(*product).orderBy("day"))
+    pairs = F.when(F.size("times") > 0, F.transform(
+        "times",
+        lambda t, i: F.struct(
+            t.alias("purchase_dt"), F.coalesce(F.get("times", i - 1), F.col("before_day")).alias(LAST)),
+    )).otherwise(F.array(F.struct(
+        F.lit(None).cast("timestamp").alias("purchase_dt"), F.lit(None).cast("timestamp").alias(LAST))))
+    return days.withColumn("before_day", before).select(*product, F.inline(pairs))
 
 
 def replenishment_target(purchases: DataFrame) -> DataFrame:

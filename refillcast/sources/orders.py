@@ -13,12 +13,15 @@ from refillcast.sources.delimited import read_delimited
 def scan_orders(
     spark: SparkSession,
     path: str,
-    until: dt.date | str,
+    until: dt.date | str | None = None,
     columns: tuple[str, ...] = ("customer_email", "product_id__item", "created_at__item"),
     ts: str = "created_at__item",
 ) -> DataFrame:
-    """Order lines up to and including midnight of ``until``; columns and filter reach the scan."""
-    return spark.read.parquet(path).where(F.col(ts) <= F.lit(str(until)).cast("timestamp")).select(*columns)
+    """Order lines, up to and including midnight of ``until`` if given; columns and filter reach the scan."""
+    orders = spark.read.parquet(path)
+    if until is not None:
+        orders = orders.where(F.col(ts) <= F.lit(str(until)).cast("timestamp"))
+    return orders.select(*columns)
 
 
 def load_product_config(spark: SparkSession, path: str) -> DataFrame:

@@ -117,7 +117,7 @@ def s02(spark, sf):
     path = fresh_path(spark, "export-parts")
     writer = lambda df: df.write.mode("append").option("header", True).option("sep", "~").csv(path)
     writer(orders.where("payment_type = 'O'"))
-    writer(orders.where("payment_type <> 'O'"))
+    writer(orders.where("not (payment_type <=> 'O')"))
     return read_delimited(spark, f"{path}/*.csv", sep="~")
 
 
@@ -446,15 +446,15 @@ def f04(spark, sf):
 
 
 @query("f05_coverage", with_inputs(
-    ["replenishment_target", "identity_attributes_raw", "identity_sources"], f"""
+    ["replenishment_target", "identity_attributes_known", "identity_sources"], f"""
 select t.customer_entity_id, t.product_id, t.purchase_dt, s.magento, a.me_city
-from replenishment_target t left join identity_attributes_raw a on t.customer_entity_id = a.customer_entity_id
+from replenishment_target t left join identity_attributes_known a on t.customer_entity_id = a.customer_entity_id
 left join identity_sources s on t.customer_entity_id = s.customer_entity_id
 where a.customer_entity_id is not null and s.customer_entity_id is not null"""))
 def f05(spark, sf):
     return joins.require_all(
         staged(spark, sf, "replenishment_target").select(*TARGET_KEY),
-        staged(spark, sf, "identity_attributes").select(CUSTOMER, "me_city"),
+        staged(spark, sf, "identity_attributes_known").select(CUSTOMER, "me_city"),
         staged(spark, sf, "identity_sources").select(CUSTOMER, "magento"),
         key=CUSTOMER,
     )
@@ -629,22 +629,28 @@ def a05(spark, sf):
     )
 
 
-_DAILY = f"select cast(created_at__item as date) as created_at, {{0}} as tmp_value from {ORDERS_UNTIL} group by 1"
+_DAILY = "select cast(created_at__item as date) as created_at, {0} as tmp_value from shop_orders group by 1"
+# The volume series of the reports end at the cut-off date; their pieces take all orders.
+_DAILY_UNTIL = _DAILY.replace("shop_orders", ORDERS_UNTIL)
 N_ROWS, N_CUSTOMERS = "count(*)", "count(distinct customer_email)"
 
 
+def all_orders(spark, sf):
+    return scan_orders(spark, staged_path(spark, sf, "shop_orders"))
+
+
 def orders_until(spark, sf):
     return scan_orders(spark, staged_path(spark, sf, "shop_orders"), UNTIL)
 
 
 @query("a06_daily_counts", over("shop_orders", _DAILY.format(N_ROWS)))
 def a06(spark, sf):
-    return volume.daily_counts(orders_until(spark, sf), "created_at__item")
+    return volume.daily_counts(all_orders(spark, sf), "created_at__item")
 
 
 @query("a07_daily_uniques", over("shop_orders", _DAILY.format(N_CUSTOMERS)))
 def a07(spark, sf):
-    return volume.daily_uniques(orders_until(spark, sf), "created_at__item", "customer_email")
+    return volume.daily_uniques(all_orders(spark, sf), "created_at__item", "customer_email")
 
 
 _STATUS = ("F", "O", "P")
@@ -730,7 +736,7 @@ def w02(spark, sf):
 select created_at, tmp_value, round(avg(tmp_value) over (partition by year(created_at), month(created_at)), 6)
        as month_mean from ({_DAILY.format(N_ROWS)})"""))
 def w03(spark, sf):
-    daily = volume.daily_counts(orders_until(spark, sf), "created_at__item")
+    daily = volume.daily_counts(all_orders(spark, sf), "created_at__item")
     return volume.monthly_mean(daily).withColumn("month_mean", F.round("month_mean", 6))
 
 
@@ -756,17 +762,17 @@ union all
 select created_at, 'n_emails', tmp_value::double from ({0})"""
 
 
-def series_sql(metric: str) -> str:
-    return over("shop_orders", _SERIES.format(_DAILY.format(metric)))
+def series_sql(metric: str, daily: str = _DAILY) -> str:
+    return over("shop_orders", _SERIES.format(daily.format(metric)))
 
 
-def series(spark, sf, metric):
-    return volume.daily_vs_monthly(orders_until(spark, sf), metric).withColumn("value", F.round("value", 6))
+def series(orders, metric):
+    return volume.daily_vs_monthly(orders, metric).withColumn("value", F.round("value", 6))
 
 
 @query("o02_order_series", series_sql(N_ROWS))
 def o02(spark, sf):
-    return series(spark, sf, "rows").orderBy("created_at", "val_type")
+    return series(all_orders(spark, sf), "rows").orderBy("created_at", "val_type")
 
 
 @query("r01_pivot_membership", over("identity_sources", "select * from {t}"))
@@ -793,7 +799,7 @@ def r03(spark, sf):
 select created_at, 'rows' as val_type, tmp_value from ({_DAILY.format(N_ROWS)}) union all
 select created_at, 'customers', tmp_value from ({_DAILY.format(N_CUSTOMERS)})"""))
 def r04(spark, sf):
-    orders = orders_until(spark, sf)
+    orders = all_orders(spark, sf)
     return reshape.long_union(
         volume.daily_counts(orders, "created_at__item").withColumn("val_type", F.lit("rows")),
         volume.daily_uniques(orders, "created_at__item", "customer_email").withColumn("val_type", F.lit("customers")),
@@ -805,7 +811,7 @@ def r04(spark, sf):
 
 @query("replenishment_target", over("replenishment_target", "select * from {t}"))
 def c01(spark, sf):
-    return target_plan.replenishment_target(source(spark, sf, "transactional_quantity"))
+    return target_plan.replenishment_target(staged(spark, sf, "transactional_quantity"))
 
 
 @query("trailing_quantity", with_inputs(["replenishment_target"], oracle.trailing_quantity()))
@@ -862,14 +868,14 @@ def c09(spark, sf):
     return rounded_modelling_data(spark, sf)
 
 
-@query("daily_volume", series_sql(N_ROWS))
+@query("daily_volume", series_sql(N_ROWS, _DAILY_UNTIL))
 def c10(spark, sf):
-    return series(spark, sf, "rows")
+    return series(orders_until(spark, sf), "rows")
 
 
-@query("daily_customers", series_sql(N_CUSTOMERS))
+@query("daily_customers", series_sql(N_CUSTOMERS, _DAILY_UNTIL))
 def c11(spark, sf):
-    return series(spark, sf, "customers")
+    return series(orders_until(spark, sf), "customers")
 
 
 # --- Learning ----------------------------------------------------------------------------

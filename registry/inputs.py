@@ -103,8 +103,7 @@ from {orders} o""",
     "coupon_used": """
 select cast(o.o_custkey as string) as customer_entity_id, cast(o.o_orderkey as string) as transaction_id,
        cast(l.l_suppkey as string) as voucher_id, [order_ts] as coupon_dt
-from {lineitem} l join {orders} o on o.o_orderkey = l.l_orderkey
-where l.l_discount > 0""",
+from {lineitem} l join {orders} o on o.o_orderkey = l.l_orderkey""",
     "product_views": """
 select cast(o.o_custkey as string) as customer_entity_id, [ship_ts] as viewed_dt, p.p_brand as product_id
 from {lineitem} l join {orders} o on o.o_orderkey = l.l_orderkey join {part} p on p.p_partkey = l.l_partkey""",
@@ -138,7 +137,6 @@ select cast(o.o_custkey as string) as customer_entity_id,
        case o.o_orderpriority when '1-URGENT' then 'magento' when '2-HIGH' then 'me_web'
             when '3-MEDIUM' then 'se' when '4-NOT SPECIFIED' then 'store' else 'phone' end as sources
 from {orders} o""",
-    # Customers in debt have no attribute row, so the coverage filter has something to drop.
     "identity_attributes_raw": f"""
 select a.customer_entity_id,
   {_ATTRIBUTES}
@@ -155,7 +153,6 @@ from (
   from {{customer}} c join {{nation}} n on n.n_nationkey = c.c_nationkey
   join {{region}} r on r.r_regionkey = n.n_regionkey
   join {{orders}} o on o.o_custkey = c.c_custkey
-  where c.c_acctbal >= 0
   group by c.c_custkey, c.c_acctbal, c.c_mktsegment, n.n_name, r.r_name
 ) a""",
     "product_feed": """
@@ -222,6 +219,9 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return identity_source_matrix(source(spark, sf_dir, "identity_sources_raw"), SOURCE_VALUES)
     if name == "identity_attributes":
         return identity_dimension(source(spark, sf_dir, "identity_attributes_raw"))
+    if name == "identity_attributes_known":
+        # Customers in debt have no attribute row, so the coverage filter has something to drop.
+        return staged(spark, sf_dir, "identity_attributes").where("hours_since__modified >= 0")
     if name == "products":
         return product_dimension(source(spark, sf_dir, "product_feed"))
     if name == "modelling_data":
@@ -264,7 +264,7 @@ def modelling_inputs(spark: SparkSession, sf_dir: str) -> ModellingInputs:
             "banner_clicked": "banner_clicked",
             "banner_impression": "banner_impression",
             "identifiers": "identity_identifiers",
-            "attributes": "identity_attributes",
+            "attributes": "identity_attributes_known",
             "sources": "identity_sources",
             "products": "products",
         }.items()

@@ -39,6 +39,7 @@ select customer_entity_id, count(*) filter (sources = 'magento') as magento,
        count(*) filter (sources = 'me_web') as me_web, count(*) filter (sources = 'se') as se,
        count(*) filter (sources = 'store') as store, count(*) filter (sources = 'phone') as phone
 from identity_sources_raw where customer_entity_id is not null group by customer_entity_id""",
+    "identity_attributes_known": "select * from identity_attributes_raw where hours_since__modified >= 0",
     "products": """
 select item_id,
        coalesce(trim(string_split(product_category, '>')[1]), 'Unknown') as first_category,
@@ -51,6 +52,7 @@ from product_feed""",
 NEEDS = {
     "replenishment_target": ("transactional_quantity",),
     "identity_sources": ("identity_sources_raw",),
+    "identity_attributes_known": ("identity_attributes_raw",),
     "products": ("product_feed",),
 }
 
@@ -200,10 +202,10 @@ select {", ".join(columns)}
 from replenishment_target t
 left join identity_identifiers idi on t.customer_entity_id = idi.customer_entity_id
 left join products prd on t.product_id = prd.item_id
-left join identity_attributes_raw ida on t.customer_entity_id = ida.customer_entity_id
+left join identity_attributes_known ida on t.customer_entity_id = ida.customer_entity_id
 left join identity_sources ids on t.customer_entity_id = ids.customer_entity_id
 {joins}
 where t.days_since_last_purchase > 20 and {matched}"""
     inputs = ["replenishment_target", "product_views", *TOPK, "identity_identifiers", "products",
-              "identity_attributes_raw", "identity_sources"]
+              "identity_attributes_known", "identity_sources"]
     return with_inputs(inputs, body, **feature_sets)
