@@ -15,15 +15,34 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
+        if sql:
+            ORACLES[name] = sql.strip()
         return fn
 
     return register
 
 
-@query("op3_prefix_examples")
+@query("op3_prefix_examples", r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), f as (
+  -- A turn's marks take 9 + 7 + 7 characters, every escaped one takes one more.
+  select *, 23 + 2 * length(role || text) - length(regexp_replace(role || text, '[<\x5B\x5C]', '', 'g')) as chars,
+         lead(turn) over (partition by conv_id order by turn, role, text) is null as last
+  from t
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(case when role = 'assistant' then length(text) end), 0) as bigint) as loss_chars,
+       sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
+       cast(sum(chars) as bigint) as formatted_chars,
+       cast(sum(case when role = 'assistant' or last then 1 else 0 end) as bigint) as n_examples
+from f group by conv_id""")
 def op3_prefix_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marked = "</s>[INST] ok [/INST]"

@@ -4,17 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from refillcast.llm.decontaminate import DecontaminationSpec, align, contaminated
-
-
-def brute_score(passage, item):
-    """Smith-Waterman over all cells."""
-    above, best = [0] * (len(passage) + 1), 0
-    for b in item:
-        row = [0]
-        for j, a in enumerate(passage):
-            row.append(max(0, above[j] + (2 if a == b else -1), above[j + 1] - 1, row[j] - 1))
-        best, above = max(best, *row), row
-    return best / (2 * len(item)) if item else 0.0
+from tests_llm_shared import brute_score
 
 
 def test_alignment_equals_brute_force():
