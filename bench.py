@@ -2,8 +2,10 @@
 
 Inputs are staged as Parquet first (not timed), as the exports they stand for lie in storage.
 Each query is built and forced with a noop write: one warm-up run, then the median of three.
-With BENCH_PLAIN=1 the same features are also timed as the plain SQL of their definition
-(cross join with the top-k labels, row-level join on months_between, count distinct).
+The product-level sums are also timed as the plain SQL of their definition (row-level join on
+months_between), in the same session; with BENCH_PLAIN=1 every feature is (cross join with the
+top-k labels, count distinct), and both product-level sums once more on a target of which a third
+of the customers is one.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from refillcast.operators.trailing import trailing_count, trailing_sum  # noqa: E402
 from refillcast.plans.dimensions import IDENTITY_ATTRIBUTES  # noqa: E402
 from refillcast.session import build_session, configure  # noqa: E402
 from registry import inputs, oracle  # noqa: E402
@@ -23,6 +28,7 @@ from registry.catalog import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+MEMORY = os.environ.get("BENCH_MEMORY", "16g")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = [
     "replenishment_target",
@@ -82,13 +88,28 @@ def plain_queries(spark) -> dict[str, str]:
     }
 
 
+def skewed_queries(spark) -> dict:
+    """The product-level sums where a third of the customers is merged into one."""
+    def merged(name: str):
+        hot = "case when cast(customer_entity_id as long) % 3 = 0 then '0' else customer_entity_id end"
+        return inputs.staged(spark, SF_DIR, name).withColumn("customer_entity_id", F.expr(hot))
+
+    target = merged("replenishment_target")
+    keys = ["customer_entity_id", "product_id"]
+    return {
+        "trailing_quantity": lambda: trailing_sum(
+            target, merged("transactional_quantity"), keys, "quantity", "purchased_quantity"),
+        "trailing_views": lambda: trailing_count(target, merged("product_views"), keys, "product_view", "viewed_dt"),
+    }
+
+
 def main() -> None:
     spark = build_session(
         "bench",
         f"local[{CPUS}]",
         **{
             "spark.sql.shuffle.partitions": CPUS,
-            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
+            "spark.driver.memory": MEMORY,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -105,8 +126,12 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
     }
-    if os.environ.get("BENCH_PLAIN") == "1":
-        result["plain_sql"] = {name: median_time(lambda t=text: spark.sql(t)) for name, text in plain_queries(spark).items()}
+    every = os.environ.get("BENCH_PLAIN") == "1"
+    plain = {n: t for n, t in plain_queries(spark).items() if every or n in ("trailing_quantity", "trailing_views")}
+    result["plain_sql"] = {name: median_time(lambda t=text: spark.sql(t)) for name, text in plain.items()}
+    if every:
+        result["skewed"] = {name: median_time(build) for name, build in skewed_queries(spark).items()}
+    result["cpus"], result["memory"] = int(CPUS), MEMORY
     print(json.dumps(result))
     spark.stop()
 

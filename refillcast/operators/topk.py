@@ -45,6 +45,9 @@ def fed_ranks(ranked: DataFrame, match: str) -> DataFrame:
 
 
 def densify(target: DataFrame, entities: DataFrame, k: int) -> DataFrame:
-    """Every target row once per ranked entity (``entities`` has ``rank`` 1..k at most)."""
+    """Every target row once per ranked entity (``entities`` has ``rank`` 1..k at most).
+
+    The features do not go this way (see ``trailing.channel_totals``): its output is k times the target.
+    """
     ranks = F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank")
-    return target.select("*", ranks).join(F.broadcast(entities), "rank")
+    return target.select("*", ranks).join(entities, "rank")

@@ -30,6 +30,7 @@ def daily_vs_monthly(orders: DataFrame, metric: str, ts: str = "created_at__item
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
     daily = daily_counts(orders, ts) if metric == "rows" else daily_uniques(orders, ts, customer)
+    # The labels of the two series, whatever the metric counts.
     return (
         monthly_mean(daily)
         .withColumn("n_emails", F.col("tmp_value").cast("double"))

@@ -47,9 +47,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_queries_without_sql_are_few():
-    assert WITHOUT_SQL == [
-        "j07_report_join", "m07_preprocess", "m11_cross_validate", "m11_fold_sizes", "m14_coefficient_report",
-        "m15_predict", "m17_fit_replenishment_model", "r05_dictionary", "s11_save_model"]
+    # One full fit of the replenishment model: its coefficients have no closed form.
+    assert WITHOUT_SQL == ["m14_coefficient_report", "m17_fit_replenishment_model"]
 
 
 @pytest.mark.parametrize("name", WITHOUT_SQL)

@@ -5,9 +5,10 @@ import pytest
 from conftest import at, rows
 
 from refillcast.operators import joins, reshape
-from refillcast.operators.trailing import topk_trailing
+from refillcast.operators.trailing import channel_totals, topk_trailing
 from refillcast.plans.dimensions import IDENTITY_ATTRIBUTES
 from refillcast.plans.modelling import (
+    BANNER_CLICKED,
     UTM_SOURCE,
     ModellingInputs,
     ModellingSpec,
@@ -122,8 +123,22 @@ def test_feature_plans_have_no_cross_join(inputs):
 
 
 def test_target_is_filtered_before_feature_work(inputs):
-    plan = modelling_data(inputs)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("days_since_last_purchase") and "> 20.0" in plan
+    """Below the filter on the gap stands nothing but the target itself."""
+    lines = modelling_data(inputs)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    found = [i for i, line in enumerate(lines) if "Filter" in line and "> 20.0" in line]
+    assert found
+    for i in found:
+        end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        below = " ".join(lines[i + 1 : end])
+        assert not any(word in below for word in ("Join", "Aggregate", "Window"))
+
+
+def test_channel_history_lists_nothing(inputs):
+    channels = [(UTM_SOURCE, inputs.utm_source), (BANNER_CLICKED, inputs.banner_clicked)]
+    plan = channel_totals(inputs.target, channels)._jdf.queryExecution().optimizedPlan().toString()
+    # The ranks of a label (k rows in all) are the only list.
+    assert plan.count("collect_list") == plan.count("collect_list(rank")
 
 
 def test_hot_key_is_split_even_against_an_aggregate(spark):
