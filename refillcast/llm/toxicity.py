@@ -43,11 +43,11 @@ class ChainSpec:
     bits: int = 17
     #: Lengths of word beginnings that are features besides the whole word.
     beginnings: tuple[int, ...] = (4, 6)
-    sample: int = 8000
+    sample: int = 20_000
     folds: int = 4
-    penalty: float = 0.1
+    penalty: float = 0.02
     #: Least log-likelihood ratio of a feature with the category.
-    evidence: float = 20.0
+    evidence: float = 12.0
     steps: int = 60
     threshold: float = 0.5
 
