@@ -18,6 +18,9 @@ from refillcast.llm.common import read, staged
 #: Not expressible in SQL: trained models, alignment and packing.
 ORACLE_SQL = None
 
+#: Target shares of tokens. Toxic documents are gone by then, so they have no share.
+WEIGHTS = {"clean": 0.93, "low": 0.07}
+
 
 def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """The documents whose id is not among the ids. The ids are written first, so that their size is known."""
@@ -50,11 +53,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mixture gives no copy go.
 
-    The total is set so that the clean domain stays whole; the others are thinned to their share.
+    The total is set so that the clean domain stays whole; low quality is thinned to its share.
     After the removal of near copies no document is repeated, so a copy is the most one gets.
     """
     labels = mixing.label_domains(read(spark, sf_dir, "labels"))
-    rated = mixing.mix(docs, labels, mixing.WEIGHTS, whole="clean")
+    rated = mixing.mix(docs, labels, WEIGHTS, whole="clean")
     return without(docs, rated.where("copies = 0"), "unmixed-ids").select(docs.columns)
 
 
