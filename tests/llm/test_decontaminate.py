@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from refillcast.llm.decontaminate import DecontaminationSpec, align, contaminated
-from tests_llm_shared import brute_score
+from .brute import brute_score
 
 
 def test_alignment_equals_brute_force():

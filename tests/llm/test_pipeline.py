@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests_llm_shared import brute_components, brute_fingerprint, brute_score
+from .brute import brute_components, brute_fingerprint, brute_score
 
 LABELS = "doc_id long, quality int, toxic int"
 

@@ -2,14 +2,13 @@
 
 import os
 
-import pytest
 import pyarrow.parquet as pq
+import pytest
 
-import test_repeats
-import test_rules
-import test_secrets
 from refillcast.llm.queries import ORACLES, QUERIES
-from tests_llm_shared import brute_components, brute_fingerprint
+
+from . import test_repeats, test_rules, test_secrets
+from .brute import brute_components, brute_fingerprint
 
 duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.001"

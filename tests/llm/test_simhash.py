@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from refillcast.llm.components import connected_components
 from refillcast.llm.simhash import SimHashSpec, fingerprint_links, hexadecimal, near_duplicates, pivots, spanning_links
-from tests_llm_shared import brute_components, brute_fingerprint
+from .brute import brute_components, brute_fingerprint
 
 
 def corpus():
