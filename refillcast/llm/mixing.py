@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refillcast.llm.common import SPACE, staged, text_of
+from refillcast.llm.common import SPACE, least_hashed, staged, text_of
 
 #: Upper ends of the ranges of a share, and of a count of telling words.
 SHARE_CUTS = (0.0, 0.01, 0.03, 0.06, 0.12, 0.25, 0.5)
@@ -52,10 +52,8 @@ def lowered(text: Column) -> Column:
 
 def sample_of(docs: DataFrame, labels: DataFrame, spec: MixSpec) -> DataFrame:
     """doc_id, domain, text of the labelled documents the classifier is fitted on."""
-    chosen = (
-        labels.where("doc_id is not null and domain is not null").dropDuplicates(["doc_id"])
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.sample)
-    )
+    known = labels.where("doc_id is not null and domain is not null").dropDuplicates(["doc_id"])
+    chosen = least_hashed(known, "doc_id", spec.sample)
     # Ids and labels only, bounded by the sample.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "domain")), "doc_id")
     return staged(joined, "mix-sample")

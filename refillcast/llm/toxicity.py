@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refillcast.llm.common import as_bytes, bounded, staged
+from refillcast.llm.common import as_bytes, bounded, least_hashed, staged
 
 _WORDS = re.compile(r"\w+")
 _CUTS = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.4, 0.6])
@@ -213,12 +213,12 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     """One weight vector per category, in order. ``categories`` maps names to boolean label columns."""
     names = list(categories)
     # Ids and labels only, at most ``sample`` rows: small enough to broadcast.
-    chosen = (
+    known = (
         labels.where("doc_id is not null")
         .select("doc_id", *[c.cast("double").alias(n) for n, c in categories.items()])
         .dropDuplicates(["doc_id"])
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.sample)
     )
+    chosen = least_hashed(known, "doc_id", spec.sample)
     text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     rows = staged(slots_frame(text, spec), "toxicity-sample")
     rows = rows.select("doc_id", "slots", *names, F.array().cast("array<double>").alias("odds"))
