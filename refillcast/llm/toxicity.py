@@ -43,7 +43,7 @@ class ChainSpec:
     bits: int = 17
     #: Lengths of word beginnings that are features besides the whole word.
     beginnings: tuple[int, ...] = (4, 6)
-    sample: int = 20_000
+    sample: int = 16_000
     folds: int = 4
     penalty: float = 0.02
     #: Least log-likelihood ratio of a feature with the category.
@@ -130,7 +130,7 @@ def minimise(loss, start: np.ndarray, steps: int, memory: int = 8) -> np.ndarray
 def association(slots: np.ndarray, owner: np.ndarray, truth: np.ndarray, n_slots: int) -> np.ndarray:
     """Log-likelihood ratio of each slot's presence with the truth."""
     n, n_true = len(truth), truth.sum()
-    both = np.bincount(slots, truth[owner], n_slots)
+    both = np.bincount(slots[truth[owner] > 0], minlength=n_slots)
     seen = np.bincount(slots, minlength=n_slots)
     cells = [both, seen - both, n_true - both, (n - n_true) - (seen - both)]
     expected = [seen * n_true / n, seen * (n - n_true) / n, (n - seen) * n_true / n, (n - seen) * (n - n_true) / n]
@@ -147,13 +147,15 @@ def fit_logistic(rows: list[np.ndarray], extra: np.ndarray, truth: np.ndarray, s
         weights[-1] = np.log(share / (1 - share)) if share else -30.0
         return weights
     n_slots = 1 << spec.bits
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    slots = np.concatenate(rows)
+    # Four bytes an entry: these two arrays are what a fit needs most memory for.
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    slots = np.concatenate(rows, dtype=np.int32)
     chosen = np.flatnonzero(association(slots, owner, truth, n_slots) >= spec.evidence)
-    column = np.full(n_slots, -1)
-    column[chosen] = np.arange(len(chosen))
-    used = column[slots] >= 0
-    slots, owner, n_chosen = column[slots[used]], owner[used], len(chosen)
+    column = np.full(n_slots, -1, dtype=np.int32)
+    column[chosen] = np.arange(len(chosen), dtype=np.int32)
+    slots = column[slots]
+    used = slots >= 0
+    slots, owner, n_chosen = slots[used], owner[used], len(chosen)
 
     def loss(w):
         z = np.bincount(owner, w[slots], len(truth)) + extra @ w[n_chosen:-1] + w[-1]
