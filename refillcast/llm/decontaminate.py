@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
 1. Every document's word n-grams are tested against a filter of fixed size that holds the hashes of the
    benchmark's n-grams. Around the hits a document keeps passages: the words within the longest
    item's length of a hit, overlapping ones joined. All other text is left behind.
 2. The hits meet the items in a join on the hash, which also removes what the filter let
-   through wrongly. Of an item's n-grams only the rare ones are seeds: those in not many more passages than
-   the item's rarest one that occurs at all. The measure is relative, so an item copied into a third of
-   all documents keeps its seeds.
+   through wrongly. Every n-gram of an item is a seed, however frequent: which of them an edit leaves
+   in a copy is not known beforehand.
 3. Each passage and item that share a seed are aligned word by word (Smith-Waterman: match 2,
    mismatch -1, gap -1). The score is the share of the best possible; edited copies lose by the edit.
+   Pairs whose words in common cannot reach the threshold in any order are not aligned.
 
 Words are lower-case runs of word characters. Defined results: null texts and texts or items
 shorter than an n-gram match nothing; repeated items give a row each; of a document's passages the best
@@ -18,6 +18,7 @@ empty table on either side gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -40,9 +41,6 @@ class DecontaminationSpec:
     n: int = 3
     #: Bits of the filter's address: its size does not depend on the benchmark's.
     filter_bits: int = 22
-    #: A seed's passages: at most ``ratio`` times those of the item's rarest n-gram, plus ``slack``.
-    ratio: int = 4
-    slack: int = 20
     #: Least share of the best possible alignment score.
     threshold: float = 0.5
 
@@ -161,15 +159,30 @@ def align(passage: list[str], item: list[str]) -> tuple[float, int, int]:
     return score / (MATCH * len(item)), stop - back, stop
 
 
-def alignments(pairs: DataFrame) -> DataFrame:
-    """Score and word range for each pair (doc_id, start, words, item_id, item)."""
+def may_reach(passage: list[str], item: list[str], threshold: float) -> bool:
+    """Whether an alignment can score the threshold; never false for one that does.
+
+    Such an alignment has at least ``threshold`` matches per item word. Its other steps cost one each
+    and its matches earn at most two per item word, so it covers at most 3 - 2 * threshold passage words
+    per item word.
+    """
+    own = set(item)
+    inside = np.concatenate(([0], np.cumsum([w in own for w in passage])))
+    width = min(len(passage), math.ceil(len(item) * (3 - 2 * threshold)))
+    return int((inside[width:] - inside[: len(inside) - width]).max()) >= threshold * len(item)
+
+
+def alignments(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Score and word range for each pair (doc_id, start, words, item_id, item); score 0 where the
+    threshold is out of reach."""
     kinds = dict(pairs.dtypes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                align(passage.as_py().split(" "), words((item.as_py() or "").encode()))
-                for passage, item in zip(batch.column("words"), batch.column("item"))]
+            texts = (
+                (passage.as_py().split(" "), words((item.as_py() or "").encode()))
+                for passage, item in zip(batch.column("words"), batch.column("item")))
+            found = [align(a, b) if may_reach(a, b, threshold) else (0.0, 0, 0) for a, b in texts]
             first = [s.as_py() for s in batch.column("start")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("item_id"), pa.array([f[0] for f in found], pa.float64()),
@@ -191,22 +204,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationSpe
     filled[[r["slot"] for r in slots]] = True
     found = staged(passages(docs, filled, margin, spec), "benchmark-passages")
     hits = found.select("doc_id", "start", F.explode("grams").alias("gram"))
-    occurring = staged(
-        hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n_passages")).join(grams.select("gram").distinct(), "gram"),
-        "benchmark-counts")
-    counted = grams.join(occurring, "gram")
-    least = counted.groupBy("item_id").agg(F.min("n_passages").alias("least"))
-    seeds = staged(
-        counted.join(least, "item_id").where(F.col("n_passages") <= spec.ratio * F.col("least") + spec.slack)
-        .select("gram", "item_id"),
-        "benchmark-seeds")
-    pairs = staged(join_hot(hits, seeds, "gram", "inner").select("doc_id", "start", "item_id").distinct(), "benchmark-pairs")
+    pairs = staged(
+        join_hot(hits, grams.select("gram", "item_id").distinct(), "gram", "inner").select("doc_id", "start", "item_id").distinct(),
+        "benchmark-pairs")
     items = benchmark.select("item_id", F.col("text").alias("item"))
     sought = join_hot(pairs, items, "item_id", "inner").alias("p")
     text = found.select("doc_id", "start", "words").alias("t")
     texts = sought.join(text, F.expr("p.doc_id <=> t.doc_id and p.start = t.start")).select(
         "p.doc_id", "p.start", "t.words", "p.item_id", "p.item")
-    scored = alignments(texts).where(F.col("score") >= spec.threshold)
+    scored = alignments(texts, spec.threshold).where(F.col("score") >= spec.threshold)
     first = F.struct("score", (-F.col("first_word")).alias("before"), "first_word", "end_word")
     return scored.groupBy("doc_id", "item_id").agg(F.max(first).alias("b")).select(
         "doc_id", "item_id", "b.score", "b.first_word", "b.end_word")

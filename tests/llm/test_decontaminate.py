@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from refillcast.llm.decontaminate import DecontaminationSpec, align, contaminated
+from refillcast.llm.decontaminate import DecontaminationSpec, align, contaminated, may_reach
 from .brute import brute_score
 
 
@@ -17,6 +17,29 @@ def test_alignment_equals_brute_force():
         assert brute_score(a[first:stop], b) == score
 
 
+def test_pairs_that_are_not_aligned_stay_below_the_threshold():
+    rng = random.Random(3)
+    refused = 0
+    for _ in range(2000):
+        a = rng.choices("abcdefghijklmnop", k=rng.randint(1, 60))
+        b = rng.choices("abcdefgh", k=rng.randint(1, 20))
+        if not may_reach(a, b, 0.5):
+            refused += 1
+            assert brute_score(a, b) < 0.5
+    assert refused > 100
+
+
+def test_mass_edited_copies_beside_one_exact_copy(spark, documents):
+    item = [f"t{k}" for k in range(12)]
+    edited, short = [*item[:4], "edited", *item[5:]], item[5:]
+    docs = [(i, " ".join([f"x{i}", *(edited if i % 2 else short), f"y{i}"])) for i in range(1000)] + [(1000, " ".join(item))]
+    # A gram of the item that occurs elsewhere by chance.
+    docs.append((1001, "a " + " ".join(item[9:]) + " b"))
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"] for r in contaminated(documents(docs), benchmark).collect()}
+    assert got == set(range(1001))
+
+
 def corpus():
     rng = random.Random(5)
     vocabulary = [f"w{k}" for k in range(600)]
