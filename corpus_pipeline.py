@@ -51,14 +51,18 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mixture gives no copy go.
+    """Every document as often as the mixture gives it copies.
 
-    The total is set so that the clean domain stays whole; low quality is thinned to its share.
-    After the removal of near copies no document is repeated, so a copy is the most one gets.
+    The total is set so that the clean domain stays whole: documents that the classifier calls clean
+    have a copy at least. Low quality is thinned or repeated to its share.
     """
     labels = mixing.label_domains(read(spark, sf_dir, "labels"))
     rated = mixing.mix(docs, labels, WEIGHTS, whole="clean")
-    return without(docs, rated.where("copies = 0"), "unmixed-ids").select(docs.columns)
+    # One copy is the rule; rows without an id have no decision.
+    other = rated.where("copies != 1").groupBy("doc_id").agg(F.max("copies").alias("mix copies"))
+    joined = docs.join(staged(other, "mix-copies"), "doc_id", "left")
+    times = F.array_repeat(F.lit(0), F.coalesce(F.col("mix copies"), F.lit(1)))
+    return joined.select(*docs.columns, F.explode(times).alias("mix copy")).select(docs.columns)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

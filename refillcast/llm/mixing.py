@@ -143,14 +143,15 @@ def posteriors(docs: DataFrame, domains: list[str], telling, prior, table, *keep
     return lifted.select(*keep, "n_tokens", *[(F.col(f"e{k}") / total).alias(f"p{k}") for k in range(len(domains))])
 
 
-def fit_rates(scored: DataFrame, targets: list[float], spec: MixSpec = MixSpec()) -> tuple[DataFrame, list[float]]:
+def fit_rates(scored: DataFrame, targets: list[float], spec: MixSpec = MixSpec(), least: Column | None = None) -> tuple[DataFrame, list[float]]:
     """The frame with ``rate``, and the expected tokens per domain that the rates give.
 
     ``targets`` are tokens per domain (columns p0, p1, ...). Squared differences are weighed by one
     over the domain's tokens, and a rate's step by one over the document's: for this scaling a step of one
-    never overshoots, whatever the input.
+    never overshoots, whatever the input. ``least`` (0 unless given, 1 at most) is the least rate of a
+    document; targets that no such rates reach are only approached.
     """
-    domains = range(len(targets))
+    domains, floor = range(len(targets)), F.lit(0.0) if least is None else least
 
     def totals(frame: DataFrame) -> list[float]:
         row = frame.agg(*[F.sum(F.col("n_tokens") * F.col("rate") * F.col(f"p{k}")).alias(f"t{k}") for k in domains]).first()
@@ -164,7 +165,7 @@ def fit_rates(scored: DataFrame, targets: list[float], spec: MixSpec = MixSpec()
         if max(map(abs, off), default=0.0) <= spec.tolerance * max(sum(targets), 1.0):
             break
         move = reduce(lambda a, b: a + b, [F.col(f"p{k}") * F.lit(off[k] / size[k]) for k in domains])
-        frame = frame.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - move))
+        frame = frame.withColumn("rate", F.greatest(floor, F.col("rate") - move))
         if step % spec.steps_per_write == 0:
             frame = staged(frame, "mix-rates")
         now = totals(frame)
@@ -177,8 +178,8 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], spec: Mix
 
     ``labels`` has doc_id and domain; ``weights`` the target share of tokens per domain. The target
     total is the input's tokens or, with ``whole``, the total at which that domain's tokens stay as many
-    as they are. ``copies`` rounds the rate up or down by the hash of the id, in the long run as often as
-    the rate says.
+    as they are; documents whose likeliest domain it is then keep a rate of 1 or more. ``copies`` rounds the
+    rate up or down by the hash of the id, in the long run as often as the rate says.
     """
     sample = sample_of(docs, labels.where(F.col("domain").isin(list(weights))), spec)
     present = {r["domain"] for r in sample.select("domain").distinct().collect()}
@@ -192,10 +193,13 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], spec: Mix
     found = scored.agg(*[F.sum(F.col("n_tokens") * F.col(f"p{k}")).alias(f"t{k}") for k in range(len(domains))]).first()
     held = [float(v or 0.0) for v in found]
     shares = [weights[d] / sum(weights[d] for d in domains) for d in domains]
-    total = sum(held)
+    total, least = sum(held), None
     if whole in domains:
-        total = held[domains.index(whole)] / shares[domains.index(whole)]
-    rated, _ = fit_rates(scored, [total * s for s in shares], spec)
+        own = domains.index(whole)
+        total = held[own] / shares[own]
+        likeliest = reduce(lambda a, b: a & b, [F.col(f"p{own}") >= F.col(f"p{k}") for k in range(len(domains))])
+        least = F.when(likeliest, 1.0).otherwise(0.0)
+    rated, _ = fit_rates(scored, [total * s for s in shares], spec, least)
     chance = F.pmod(F.xxhash64(*keep, F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     columns = [F.col(f"p{domains.index(d)}") if d in domains else F.lit(0.0) for d in weights]
     return rated.select(

@@ -65,6 +65,32 @@ def test_a_whole_domain_is_kept(spark, documents):
     assert all(got[i]["copies"] >= 1 for i, _, k in rows if k == "clean" and got[i]["p_clean"] > 0.999)
 
 
+def skewed(n):
+    """Low quality at 3 % of the rows; some clean documents look a little like it."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        words = [f"w{rng.randint(0, 300)}" for _ in range(rng.randint(20, 60))]
+        kind = "low" if i % 33 == 0 else "clean"
+        words = [w + "###" if rng.random() < (0.6 if kind == "low" else 0.04 * (i % 5 == 1)) else w for w in words]
+        rows.append((i, " ".join(words), kind))
+    return rows
+
+
+def test_soft_posteriors_do_not_thin_documents_with_a_least_rate(spark):
+    rng = np.random.default_rng(2)
+    low = np.where(rng.random(400) < 0.1, rng.uniform(0.6, 1.0, 400), rng.uniform(0.0, 0.2, 400))
+    rows = [(i, int(rng.integers(1, 500)), float(1 - q), float(q)) for i, q in enumerate(low)]
+    frame = spark.createDataFrame(rows, "doc_id long, n_tokens long, p0 double, p1 double")
+    clean = sum(n * p for _, n, p, _ in rows)
+    targets = [clean, clean * 0.07 / 0.93]
+    least = F.when(F.col("p0") >= 0.5, 1.0).otherwise(0.0)
+    thinned, _ = fit_rates(frame, targets, MixSpec(most_steps=10))
+    assert thinned.where("p0 >= 0.5 and rate < 1").count()
+    rated, _ = fit_rates(frame, targets, MixSpec(most_steps=10), least)
+    assert all(r["rate"] >= (r["p0"] >= 0.5) for r in rated.collect())
+
+
 def test_odd_rows(spark, documents):
     pairs = [(i, t) for i, t, _ in corpus(40)] + [(None, "x"), (None, None), (50, None), (51, ""), (52, "a " * 50_000), (1, "again")]
     labels = spark.createDataFrame([(i, q, x) for i in range(40) for q, x in [(i % 2, int(i % 5 == 4))]] + [(50, None, None), (None, 1, 1), (1, 0, 0)], "doc_id long, quality int, toxic int")

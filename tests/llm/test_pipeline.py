@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from .brute import brute_components, brute_fingerprint, brute_score
+from .test_mixing import skewed
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -65,6 +66,16 @@ def test_stages_decide_and_keep_columns(spark, corpus):
     assert sorted((str(r["doc_id"]), r["shard"], r["slot"]) for r in whole) == sorted((str(r["doc_id"]), r["shard"], r["slot"]) for r in shards)
 
 
+def test_mixing_carries_copies_and_keeps_clean_documents(spark, documents, tmp_path):
+    rows = skewed(600)
+    labels = [(i, int(kind != "low"), 0) for i, _, kind in rows]
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    got = [r["doc_id"] for r in corpus_pipeline.mixed(spark, documents([(i, t) for i, t, _ in rows] + [(None, "x")]), str(tmp_path)).collect()]
+    assert {i for i, _, kind in rows if kind == "clean"} <= set(got) and None in got
+    low = [i for i, _, kind in rows if kind == "low"]
+    assert sum(got.count(i) for i in low) > 1.5 * len(low)
+
+
 def test_empty_corpus(spark, corpus, tmp_path):
     folder = str(tmp_path)
     for name in ("documents", "labels", "benchmark"):
