@@ -534,7 +534,8 @@ def chunked(docs: DataFrame, spec: RepeatSpec) -> tuple[DataFrame, RepeatSpec]:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(total / spec.chunk_bytes))
     name, files = f"chunked_{uuid.uuid4().hex}", max(1, math.ceil(chunks / 2))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(chunks))
+    # Rows without an id match nothing, so their texts deal them out.
+    part = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(chunks))
     (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", part.alias("chunk"))
         .repartition(files, "chunk")

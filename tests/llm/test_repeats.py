@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from refillcast.llm.bwt import first_seen
-from refillcast.llm.repeats import RepeatSpec, without_repeats
+from refillcast.llm.repeats import RepeatSpec, chunked, without_repeats
 
 
 def brute(pairs, least):
@@ -76,3 +76,14 @@ def test_transform_finds_earlier_windows():
                 w = s[i : i + least]
                 want = len(w) == least and any(w in t and p < o for t, p in zip(strings, owners))
                 assert bool(seen[at + i]) == want
+
+
+def test_rows_without_an_id_spread_over_the_chunks(spark, documents):
+    text = {k: f"text number {k} " * 40 for k in range(64)}
+    docs = documents([(None, t) for t in text.values()])
+    spec = RepeatSpec(chunk_bytes=4096)
+    table, _ = chunked(docs, spec)
+    sizes = [r["count"] for r in table.groupBy("chunk").count().collect()]
+    assert sum(sizes) == 64 and max(sizes) <= 32 and len(sizes) > 3
+    got = without_repeats(docs, spec).collect()
+    assert sorted(r["kept"] for r in got) == sorted(text.values())
