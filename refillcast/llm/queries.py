@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillcast.llm import chat, decontaminate, html, mixing, repeats, rules, secrets, shards, simhash, toxicity
+from refillcast.llm import (
+    centroids, chat, decontaminate, html, mixing, negatives, repeats, rules, secrets, shards, simhash, sketches, toxicity)
 from refillcast.llm.common import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +100,65 @@ def op2_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.label_domains(read(spark, sf_dir, "labels"))
     return mixing.mix(read(spark, sf_dir, "documents"), labels, mixing.WEIGHTS)
+
+
+@query("op11_fast_sketches", r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as t
+  from documents
+), s as materialized (
+  select doc_id, unnest(case when len(t) = 0 then [] when len(t) < 3 then [array_to_string(t, ' ')]
+                else list_distinct([t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] for i in range(1, len(t) - 1)]) end) as g
+  from w
+), n as materialized (
+  select doc_id, count(*) as n from s group by doc_id
+), links as materialized (
+  select a.doc_id as u, b.doc_id as v from s a join s b on a.g = b.g and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id
+  having 100 * count(*) >= 85 * ((select n from n where n.doc_id = a.doc_id) + (select n from n where n.doc_id = b.doc_id) - count(*))
+), edges as materialized (
+  select u, v from links union all select v, u from links
+), reach as (
+  select doc_id, doc_id as other from n
+  union select r.doc_id, e.v from reach r join edges e on e.u = r.other
+), c as (
+  select doc_id, min(other) as least from reach group by doc_id
+)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.least, w.doc_id) as component_id,
+       coalesce(c.least, w.doc_id) = w.doc_id as kept
+from w left join n using (doc_id) left join c using (doc_id)""")
+def op11_fast_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op12_native_centroids", centroids.oracle())
+def op12_native_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_threshold_negatives", """
+with r as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), s as materialized (
+  select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as int) as rank,
+       s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same
+ and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+qualify rank <= 5""")
+def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Some labels are moved to the next one, as if they had been noted wrongly.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.usable(read(spark, sf_dir, "embeddings"), label)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)

@@ -24,7 +24,7 @@ def texts():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations", "labels", "benchmark", "pages"):
+    for table in ("documents", "conversations", "labels", "benchmark", "pages", "embeddings"):
         con.execute(f"create view {table} as select * from '{DATA}/{table}.parquet'")
     cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
