@@ -4,8 +4,10 @@ A classifier, fitted on labelled documents, gives every document a posterior ove
 ``fit_rates`` then finds a rate (expected number of copies) per document: the nonnegative rates for
 which the expected tokens of each domain, sum of rate * tokens * posterior, match the targets, by
 projected gradient descent on the squared differences. The gradient with respect to a document's
-rate needs only its own posterior and one number per domain, so an iteration is one aggregate over a
-narrow table; nothing but those numbers reaches the driver.
+rate needs only its own posterior and one number per domain. Rates therefore depend on the posterior alone,
+and an iteration is one aggregate over the distinct posteriors, of which there are at most as many as
+combinations of the classifier's ranges; nothing but those numbers reaches the driver. Documents are read once to be
+scored and once to be given their rate.
 
 The classifier is naive Bayes over ranges of surface shares and of counts of telling words. Word
 list and tables come from at most ``sample`` labelled documents, those with the least hash of their
@@ -41,9 +43,13 @@ class MixSpec:
     #: Least log-likelihood ratio of a telling word.
     evidence: float = 20.0
     tolerance: float = 1e-6
-    most_steps: int = 200
+    #: Ten steps that lower the squared differences by less than this share are slow: from then on steps
+    #: carry momentum, and once they are slow with it, nothing more is to be gained.
+    gain: float = 0.02
     #: Steps after which the rates are written, so that expressions stay short.
     steps_per_write: int = 10
+    #: An end to the descent, for trials; none unless given.
+    most_steps: int | None = None
 
 
 def lowered(text: Column) -> Column:
@@ -143,38 +149,90 @@ def posteriors(docs: DataFrame, domains: list[str], telling, prior, table, *keep
     return lifted.select(*keep, "n_tokens", *[(F.col(f"e{k}") / total).alias(f"p{k}") for k in range(len(domains))])
 
 
+def rate_after(moves: list[tuple[list[float], float]]) -> str:
+    """SQL of the rate ``r`` and the momentum's point ``y`` of a posterior after the moves, from its columns r and y.
+
+    A move has a number per domain and a momentum: a rate goes down by the numbers weighed with the posterior,
+    from where the momentum of the move before has carried it, but not below the floor.
+    """
+    if not moves:
+        return "named_struct('r', r, 'y', y)"
+    steps = ", ".join(
+        "named_struct(" + ", ".join(f"'g{k}', {g!r}D" for k, g in enumerate(numbers)) + f", 'b', {b!r}D)" for numbers, b in moves)
+    down = " + ".join(f"p{k} * s.g{k}" for k in range(len(moves[0][0])))
+    rate = f"greatest(floor, a.y - ({down}))"
+    return (
+        f"aggregate(array({steps}), named_struct('r', r, 'y', y), "
+        f"(a, s) -> named_struct('r', {rate}, 'y', {rate} + s.b * ({rate} - a.r)))")
+
+
+def descend(held: DataFrame, targets: list[float], spec: MixSpec) -> tuple[DataFrame, list[float], bool]:
+    """The frame of distinct posteriors (p0, ..., floor, tokens) with their rate r, the expected tokens per domain,
+    and whether these meet the targets."""
+    domains = range(len(targets))
+    held = held.selectExpr("*", "1.0D as r", "1.0D as y")
+    moves: list[tuple[list[float], float]] = []
+
+    def state() -> tuple[list[float], list[float], float]:
+        """Expected tokens per domain at the rates and at the momentum's points, and the product of
+        the last move's gradient and direction: positive if it went uphill."""
+        gradient = moves[-1][0] if moves else [0.0 for _ in domains]
+        row = (
+            held.selectExpr("*", f"{rate_after(moves)} as a", f"{rate_after(moves[:-1])}.r as r0")
+            .selectExpr(
+                *[f"sum(tokens * a.r * p{k}) as r{k}" for k in domains], *[f"sum(tokens * a.y * p{k}) as y{k}" for k in domains],
+                f"sum(tokens * (a.r - r0) * ({' + '.join(f'p{k} * {gradient[k]!r}D' for k in domains) or '0.0D'})) as uphill")
+            .first())
+        values, n = [float(v or 0.0) for v in row], len(targets)
+        return values[:n], values[n : 2 * n], values[-1]
+
+    now, at, _ = state()
+    size, whole = [max(v, 1e-9) for v in now], max(sum(targets), 1.0)
+    step, pace, hurried, errors = 0, 1.0, None, []
+    while True:
+        met = max((abs(now[k] - targets[k]) for k in domains), default=0.0) <= spec.tolerance * whole
+        errors.append(sum((now[k] - targets[k]) ** 2 / size[k] for k in domains))
+        slow = step >= 10 and errors[-1] > (1 - spec.gain) * errors[-11]
+        if slow and hurried is None:
+            hurried = step
+        if met or step == spec.most_steps or slow and step >= hurried + 20:
+            return held.selectExpr(*[f"p{k}" for k in domains], "floor", f"{rate_after(moves)}.r as rate"), now, met
+        if len(moves) == spec.steps_per_write:
+            written = held.selectExpr(*[f"p{k}" for k in domains], "floor", "tokens", f"{rate_after(moves)} as a")
+            held = staged(written.selectExpr(*[f"p{k}" for k in domains], "floor", "tokens", "a.r", "a.y"), "mix-rates")
+            moves = []
+        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2 if hurried is not None else 1.0
+        moves.append(([(at[k] - targets[k]) / size[k] for k in domains], (pace - 1) / faster))
+        step, pace = step + 1, faster
+        now, at, uphill = state()
+        if uphill > 0 and moves[-1][1] > 0:
+            # Momentum led uphill: the next move starts from the rates themselves.
+            moves[-1], pace, at = (moves[-1][0], 0.0), 1.0, now
+
+
 def fit_rates(scored: DataFrame, targets: list[float], spec: MixSpec = MixSpec(), least: Column | None = None) -> tuple[DataFrame, list[float]]:
-    """The frame with ``rate``, and the expected tokens per domain that the rates give.
+    """The frame with ``rate`` and ``converged``, and the expected tokens per domain that the rates give.
 
     ``targets`` are tokens per domain (columns p0, p1, ...). Squared differences are weighed by one
     over the domain's tokens, and a rate's step by one over the document's: for this scaling a step of one
     never overshoots, whatever the input. ``least`` (0 unless given, 1 at most) is the least rate of a
-    document; targets that no such rates reach are only approached.
+    document. The descent ends when the targets are met to the tolerance, or when twenty or more steps with
+    momentum no longer lower the squared differences: then such rates don't reach the targets, and ``converged`` is
+    false. Momentum is used once plain steps become slow, and is started anew whenever it leads uphill.
+
+    Documents with one posterior share their rate, so the descent runs on the tokens summed per posterior.
     """
-    domains, floor = range(len(targets)), F.lit(0.0) if least is None else least
-
-    def totals(frame: DataFrame) -> list[float]:
-        row = frame.agg(*[F.sum(F.col("n_tokens") * F.col("rate") * F.col(f"p{k}")).alias(f"t{k}") for k in domains]).first()
-        return [float(v or 0.0) for v in row]
-
-    frame = scored.withColumn("rate", F.lit(1.0))
-    now = totals(frame)
-    size = [max(v, 1e-9) for v in now]
-    for step in range(1, spec.most_steps + 1):
-        off = [now[k] - targets[k] for k in domains]
-        if max(map(abs, off), default=0.0) <= spec.tolerance * max(sum(targets), 1.0):
-            break
-        move = reduce(lambda a, b: a + b, [F.col(f"p{k}") * F.lit(off[k] / size[k]) for k in domains])
-        frame = frame.withColumn("rate", F.greatest(floor, F.col("rate") - move))
-        if step % spec.steps_per_write == 0:
-            frame = staged(frame, "mix-rates")
-        now = totals(frame)
-    return frame, now
+    keys = [*[f"p{k}" for k in range(len(targets))], "floor"]
+    floored = scored.withColumn("floor", (F.lit(0.0) if least is None else least).cast("double"))
+    summed = floored.groupBy(*keys).agg(F.sum("n_tokens").cast("double").alias("tokens"))
+    rates, reached, met = descend(staged(summed, "mix-vectors"), targets, spec)
+    rated = floored.join(staged(rates, "mix-rates"), keys).drop("floor")
+    return rated.withColumn("converged", F.lit(met)), reached
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], spec: MixSpec = MixSpec(),
         whole: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns: the kept ones, n_tokens, p_<domain>, rate, copies.
+    """Columns: the kept ones, n_tokens, p_<domain>, rate, copies, converged.
 
     ``labels`` has doc_id and domain; ``weights`` the target share of tokens per domain. The target
     total is the input's tokens or, with ``whole``, the total at which that domain's tokens stay as many
@@ -186,7 +244,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], spec: Mix
     domains = [d for d in weights if d in present]
     if not domains:
         none = docs.select(*keep, F.size(F.filter(lowered(text_of()), lambda w: w != "")).cast("long").alias("n_tokens"))
-        return none.select("*", *[F.lit(0.0).alias(f"p_{d}") for d in weights], F.lit(1.0).alias("rate"), F.lit(1).alias("copies"))
+        return none.select("*", *[F.lit(0.0).alias(f"p_{d}") for d in weights], F.lit(1.0).alias("rate"), F.lit(1).alias("copies"), F.lit(True).alias("converged"))
     telling = telling_words(sample, domains, spec)
     prior, table = fit_posteriors(sample, domains, telling)
     scored = staged(posteriors(docs, domains, telling, prior, table, *keep), "mix-posteriors")
@@ -204,7 +262,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], spec: Mix
     columns = [F.col(f"p{domains.index(d)}") if d in domains else F.lit(0.0) for d in weights]
     return rated.select(
         *keep, "n_tokens", *[c.alias(f"p_{d}") for c, d in zip(columns, weights)], "rate",
-        F.floor(F.col("rate") + chance).cast("int").alias("copies"))
+        F.floor(F.col("rate") + chance).cast("int").alias("copies"), "converged")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
