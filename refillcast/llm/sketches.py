@@ -327,12 +327,16 @@ def cell_links(cells: DataFrame, spec: SketchSpec) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, spec: SketchSpec) -> DataFrame:
-    """Columns node, elements: the full set of each class (node, least_id, d1, d2), read from a document that has it."""
+    """Columns node, elements: the full set of each class (node, least_id, d1, d2), read from a document that has it.
+
+    The ids grow with the input, so the join takes the same form at every size.
+    """
     ids = classes.where("least_id is not null").select(F.col("least_id").alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text")
-    chosen = texts.join(ids, "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
-    found = full_sets(chosen, spec).join(classes.select("node", "d1", "d2"), ["d1", "d2"])
-    return found.groupBy("node").agg(F.first("elements").alias("elements"))
+    chosen = texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+    found = full_sets(chosen, spec).join(classes.select("node", "d1", "d2").hint("shuffle_hash"), ["d1", "d2"])
+    # The rows of a digest lie in one partition already.
+    return found.groupBy("d1", "d2", "node").agg(F.first("elements").alias("elements")).select("node", "elements")
 
 
 def with_components(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
