@@ -45,18 +45,14 @@ def day_rows(
     event_ts: str,
     totals: dict[str, Column],
     target_ts: str = TARGET_TS,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key and day with target rows or events: ``is_target`` and the day's totals.
 
     ``totals`` are aggregates over the event columns that ignore NULL. Targets and events meet
-    in one aggregate whose partial sums run before the exchange on (key, day). ``carry`` names
-    target columns to keep per day as the list ``carried``: of rows that are already distinct,
-    at most one per second of the day and value.
+    in one aggregate whose partial sums run before the exchange on (key, day).
     """
     own = [c for c in events.columns if c not in (*keys, event_ts)]
-    held = F.struct(*carry) if carry else F.lit(None)
-    mine = target.select(*keys, F.to_date(target_ts).alias("day"), F.lit(True).alias("is_target"), held.alias("carried"))
+    mine = target.select(*keys, F.to_date(target_ts).alias("day"), F.lit(True).alias("is_target"))
     return (
         mine.unionByName(
             events.select(*keys, F.to_date(event_ts).alias("day"), F.lit(False).alias("is_target"), *own),
@@ -66,12 +62,101 @@ def day_rows(
         .groupBy(*keys, "day")
         .agg(
             F.max("is_target").alias("is_target"),
-            *([F.collect_list("carried").alias("carried")] if carry else []),
             *[t.alias(name) for name, t in totals.items()],
         )
     )
 
 
+def day_code(day: Column) -> Column:
+    """A whole number per day in which a month back is always 32 less, whether that day exists or not."""
+    return (F.year(day) * 12 + F.month(day)) * 32 + F.dayofmonth(day)
+
+
+#: Decimal places of the lower limb of a double, and the size from which doubles are no exact limbs.
+LIMB = 10**15
+WILD = 2**53
+
+
+def _limbs(name: str, kind: str) -> dict[str, str]:
+    """Whole-number columns, as SQL, that stand for a total: they add and subtract without residue.
+
+    A double is its floor and its fraction in units of 10^-15; NaN, infinities and sizes of 2^53 or more have none.
+    """
+    if kind != "double":
+        return {name: f"cast({name} as bigint)"}
+    tame = _tame(name)
+    return {
+        f"{name}__whole": f"case when {tame} then cast(floor({name}) as bigint) end",
+        f"{name}__part": f"case when {tame} then cast(round(({name} - floor({name})) * {LIMB}D) as bigint) end",
+    }
+
+
+def _tame(name: str) -> str:
+    return f"(abs({name}) < {WILD}D and not isnan({name}))"
+
+
+def running_windows(
+    wanted: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    totals: Sequence[str],
+    windows: Sequence[int] = WINDOWS,
+    strict: Collection[str] = (),
+) -> DataFrame:
+    """Every row of ``wanted`` (keys, day, ...) with ``<total>__<months>`` over the trailing windows of its key.
+
+    ``events`` has one row per key and day with the totals. A window is the difference of two running
+    totals along ``day_code``: of all days up to the row's own (the day before for totals in ``strict``) and of all
+    days a number of months before. Only where a month's last day asks for a shorter month, that month's last
+    day belongs to the window as well; events of such days stand again at the codes without a day. Each
+    total moves along one sort per key; no row meets another and nothing is listed, however many rows a key has.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema.fields}
+    doubles = [t for t in totals if kinds[t] == "double"]
+    limbs = {limb: (text, name in strict) for name in totals for limb, text in _limbs(name, kinds[name]).items()}
+    # The last day of a short month, once more for each day that the month lacks.
+    lacking = "case when day = last_day(day) then 31 - dayofmonth(day) else 0 end"
+    split = (
+        events.withColumn("at", day_code(F.col("day")))
+        .selectExpr(*keys, "day", "at", *totals, f"explode(sequence(0, {lacking})) as late")
+        .selectExpr(
+            *keys, "at + late as at", "false as is_wanted",
+            *[f"case when late = 0 then {text} end as {limb}" for limb, (text, _) in limbs.items()],
+            *[f"case when late > 0 then {text} end as {limb}__end" for limb, (text, _) in limbs.items()],
+            *[f"case when late = 0 and {t} is not null and not {_tame(t)} then day end as {t}__wild" for t in doubles]))
+    rows = wanted.withColumns({"at": day_code(F.col("day")), "is_wanted": F.lit(True)}).unionByName(split, allowMissingColumns=True)
+
+    def over(aggregate: str, since: str, until: str) -> str:
+        return f"{aggregate} over (partition by {', '.join(keys)} order by at range between {since} and {until})"
+
+    running = []
+    for limb, (_, is_strict) in limbs.items():
+        running.append(over(f"sum({limb})", "unbounded preceding", "1 preceding" if is_strict else "current row") + f" as {limb}__now")
+        for m in windows:
+            running.append(over(f"sum({limb})", "unbounded preceding", f"{32 * m + 1} preceding") + f" as {limb}__before{m}")
+            running.append(over(f"sum({limb}__end)", f"{32 * m} preceding", f"{32 * m} preceding") + f" as {limb}__end{m}")
+    running += [
+        over(f"max({t}__wild)", "unbounded preceding", "1 preceding" if t in strict else "current row") + f" as {t}__last_wild"
+        for t in doubles]
+    seen = (
+        rows.selectExpr(*wanted.columns, "is_wanted", *running).where("is_wanted")
+        .select("*", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows if doubles]))
+
+    def inside(limb: str, m: int) -> str:
+        end = f"case when day = last_day(day) then coalesce({limb}__end{m}, 0L) else 0L end"
+        return f"(coalesce({limb}__now, 0L) - coalesce({limb}__before{m}, 0L) + {end})"
+
+    def total(name: str, m: int) -> str:
+        if name not in doubles:
+            return inside(name, m)
+        whole, part = inside(f"{name}__whole", m), inside(f"{name}__part", m)
+        return (
+            f"case when {name}__last_wild >= from__{m} then double('NaN') else"
+            f" cast({whole} + {part} div {LIMB}L as double) + ({part} % {LIMB}L) / {LIMB}D end")
+
+    return seen.selectExpr(*wanted.columns, *[f"{total(t, m)} as {t}__{m}" for t in totals for m in windows])
+
+
 def window_sums(
     target: DataFrame,
     events: DataFrame,
@@ -81,41 +166,15 @@ def window_sums(
     windows: Sequence[int] = WINDOWS,
     strict: Collection[str] = (),
     target_ts: str = TARGET_TS,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Totals over every trailing window, for every (key, day) of the target; few totals.
+    """Totals over every trailing window, for every (key, day) of the target.
 
-    Each target day sees the day rows of the longest window as one list, at most one entry per
-    calendar day, and adds up the entries of each window. Nothing is subtracted, so sums of
-    doubles carry no residue. Totals in ``strict`` leave out the day itself. Output: keys, day,
-    ``carried`` if target columns are to be kept, ``<total>__<months>``.
+    ``totals`` are aggregates over the event columns that ignore NULL. Totals in ``strict`` leave out the
+    day itself. Sums of doubles are exact to 15 decimal places; a window that holds NaN, an infinity or a day's
+    sum of 2^53 or more has the sum NaN. Output: keys, day, ``<total>__<months>``.
     """
-    span = (
-        f"over (partition by {', '.join(keys)} order by unix_date(day)"
-        f" range between {31 * max(windows)} preceding and current row)"
-    )
-    listed = f"case when coalesce({', '.join(totals)}) is not null then struct(day, {', '.join(totals)}) end"
-    days = day_rows(target, events, keys, event_ts, totals, target_ts, carry)
-    types = {f.name: f.dataType.simpleString() for f in days.schema.fields}
-    kept = ["day", "carried"] if carry else ["day"]
-    seen = (
-        days.selectExpr(*keys, *kept, "is_target", f"collect_list({listed}) {span} as past")
-        .where("is_target")
-        .select(*keys, *kept, "past", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows])
-    )
-    # Windows are nested, so a shorter one only looks through the next longer one.
-    longer = "past"
-    for m in sorted(windows, reverse=True):
-        seen = seen.selectExpr("*", f"filter({longer}, p -> p.day >= from__{m}) as in__{m}")
-        longer = f"in__{m}"
-
-    def summed(c: str, m: int) -> str:
-        value = f"coalesce(p.{c}, cast(0 as {types[c]}))"
-        if c in strict:
-            value = f"case when p.day < day then {value} else cast(0 as {types[c]}) end"
-        return f"aggregate(in__{m}, cast(0 as {types[c]}), (total, p) -> total + {value}) as {c}__{m}"
-
-    return seen.selectExpr(*keys, *kept, *[summed(c, m) for c in totals for m in windows])
+    days = daily_events(events, keys, event_ts, totals)
+    return running_windows(target_days(target, keys, target_ts), days, keys, list(totals), windows, strict)
 
 
 def slot_history(
@@ -215,18 +274,16 @@ def _key_totals(
 ) -> DataFrame:
     """One row per target key with totals of the key; ``outputs`` may use ``copies``.
 
-    The target's own rows, counted once, ride in the day aggregate as a list and come out of it
-    again, so they need no join. Keys without a customer, product or time match nothing.
+    The target's rows, counted once, go through the windows themselves, so nothing is joined back. Keys
+    without a customer, product or time match nothing.
     """
-    copies = target_copies(target)
-    rest = [c for c in TARGET_KEY if c not in keys]
-    found = window_sums(copies, events, keys, "event_ts", totals, windows, strict, carry=[*rest, "copies"])
-    whole = found.select("*", F.inline("carried")).select(*TARGET_KEY, *[v.alias(n) for n, v in outputs.items()])
-    incomplete = copies.where(" or ".join(f"{c} is null" for c in (*keys, TARGET_TS)))
-    zero = found.schema
-    none = [F.lit(0).cast(f.dataType).alias(f.name) for f in zero.fields if f.name not in (*keys, "day", "carried")]
-    return whole.unionByName(
-        incomplete.select("*", *none).select(*TARGET_KEY, *[v.alias(n) for n, v in outputs.items()]))
+    copies = target_copies(target).withColumn("day", F.to_date(TARGET_TS))
+    whole = " and ".join(f"{c} is not null" for c in (*keys, TARGET_TS))
+    days = daily_events(events, keys, "event_ts", totals)
+    found = running_windows(copies.where(whole), days, keys, list(totals), windows, strict)
+    none = [F.lit(0).cast(f.dataType).alias(f.name) for f in found.schema.fields if f.name not in copies.columns]
+    incomplete = copies.where(f"not ({whole})").select("*", *none)
+    return found.unionByName(incomplete).select(*TARGET_KEY, *[v.alias(n) for n, v in outputs.items()])
 
 
 def trailing_sum(

@@ -381,6 +381,8 @@ def p14(spark, sf):
     )
 
 
+# Natural log, unrounded; rounded where it is the result.
+LOG = "case when {0} <= 0 then 0 else ln(case when {0} > 0 then {0} end) end"
 GUARDED = "round(case when {0} <= 0 then 0 else ln(case when {0} > 0 then {0} end) end, 6)"
 
 
@@ -987,7 +989,7 @@ def scaled_sql(number: str) -> str:
 
 
 @query("m07_preprocess", training_sql(
-    "select row_id, feature_id, round(value, 4) as value from scaled where round(value, 4) <> 0", scaled=scaled_sql(GUARDED)))
+    "select row_id, feature_id, round(value, 4) as value from scaled where round(value, 4) <> 0", scaled=scaled_sql(LOG)))
 def m07(spark, sf):
     model, rows = preprocessing(spark, sf)
     slots = F.posexplode(vector_to_array("selected_features")).alias("feature_id", "value")

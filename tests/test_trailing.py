@@ -4,6 +4,7 @@ import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
+from refillcast.functions import window_start
 from refillcast.operators import topk, trailing
 from refillcast.operators.trailing import TARGET_KEY, WINDOWS, Channel
 from refillcast.plans.target import previous_purchase, replenishment_target
@@ -226,3 +227,44 @@ def test_previous_purchase(spark):
         ("01-01 08", "p", None), ("01-01 09", "p", "01-01 08"), ("02-01 00", "p", "01-01 09"), ("02-01 00", "q", None)]
     gaps = replenishment_target(bought)
     assert sorted(r[0] for r in gaps.select("days_since_last_purchase").collect()) == [1 / 24, 30.625]
+
+
+@pytest.mark.parametrize("include_zero", [True, False])
+def test_running_totals_equal_the_window_test_on_every_day(spark, include_zero):
+    """Fractional sums of every window against window_start, around month ends, a leap year and a century."""
+    days = spark.sql("""
+      select explode(sequence(date'1999-12-25', date'2001-03-31')) as day
+      union all select explode(sequence(date'2022-12-25', date'2024-05-31'))""")
+    target = days.selectExpr("'c' as customer_entity_id", "'p' as product_id", "cast(day as timestamp) as purchase_dt")
+    bought = days.selectExpr(
+        "'c' as customer_entity_id", "'p' as product_id", "cast(day as timestamp) + interval 5 hours as purchase_dt",
+        "pmod(xxhash64(day), 1000) / 7 - 40 as quantity")
+    got = trailing.trailing_sum(target, bought, KEYS, "quantity", "q", include_zero=include_zero)
+    last = F.col("t.day") if include_zero else F.date_sub("t.day", 1)
+    met = days.alias("t").join(bought.withColumn("day", F.to_date("purchase_dt")).alias("e"), F.col("e.day") <= F.col("t.day"), "left")
+    want = met.groupBy("t.day").agg(*[
+        F.coalesce(F.sum(F.when(F.col("e.day").between(window_start(F.col("t.day"), m), last), F.col("quantity"))), F.lit(0.0))
+        .alias(f"q_last{m}m") for m in WINDOWS])
+    names = [f"q_last{m}m" for m in WINDOWS]
+    found = {r["day"]: r[1:] for r in got.select(F.to_date("purchase_dt").alias("day"), *names).collect()}
+    asked = {r["day"]: r[1:] for r in want.select("day", *names).collect()}
+    assert found.keys() == asked.keys()
+    for day, values in asked.items():
+        assert found[day] == pytest.approx(values, abs=1e-9), day
+
+
+def test_sums_that_are_no_number(spark):
+    t = target_of(spark, ("c", "p", "2022-03-15"), ("c", "p", "2022-06-20"), ("c", "q", "2022-03-15"))
+    bought = spark.createDataFrame(
+        [("c", "p", at("2022-03-01"), float("nan")), ("c", "p", at("2022-06-01"), -0.5), ("c", "q", at("2022-03-01"), 1e300)],
+        "customer_entity_id string, product_id string, purchase_dt timestamp, quantity double")
+    got = trailing.trailing_sum(t, bought, KEYS, "quantity", "q").orderBy("product_id", "purchase_dt").collect()
+    assert [str(r["q_last1m"]) for r in got] == ["nan", "-0.5", "nan"]
+    assert [str(r["q_last12m"]) for r in got] == ["nan", "nan", "nan"]
+
+
+def test_plan_lists_nothing(spark, capsys):
+    t, v = target_of(spark, ("c", "p", "2022-03-15")), views_of(spark, ("c", "p", "2022-03-10"))
+    count_views(t, v).explain()
+    plan = capsys.readouterr().out
+    assert "collect_list" not in plan and "Window" in plan
