@@ -339,16 +339,23 @@ def sets_of(docs: DataFrame, classes: DataFrame, spec: SketchSpec) -> DataFrame:
     return found.groupBy("d1", "d2", "node").agg(F.first("elements").alias("elements")).select("node", "elements")
 
 
-def with_components(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """The rows (node, ...) with the component that the links give each node."""
-    roots = staged(connected_components(links, name), f"{name}-roots").withColumnRenamed("root", "component")
-    return join_hot(rows, roots, "node").withColumn("component", F.coalesce("component", "node"))
+def with_leaders(rows: DataFrame, links: DataFrame, doublings: int = 3) -> DataFrame:
+    """The rows (node, ...) with ``component``: the leader at the end of their chain of links.
+
+    A link leads to a lesser node and every node has one at most, so chains end. Doubling three times
+    follows chains of eight links; a longer one gives a leader on the way, which is of the same component.
+    """
+    for _ in range(doublings):
+        onward = links.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        links = staged(join_hot(links, onward, "v").select("u", F.coalesce("w", "v").alias("v")), "sketch-leaders")
+    return join_hot(rows, links.toDF("node", "component"), "node").withColumn("component", F.coalesce("component", "node"))
 
 
-def class_links(docs: DataFrame, classes: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFrame:
-    """Links (u, v) that join all classes of equal sets whose sets are similar enough.
+def class_components(docs: DataFrame, classes: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFrame:
+    """Columns node, root: components of the links between classes of equal sets whose sets are similar enough.
 
-    ``classes`` has node, n, d1, d2, bands, sketch and least_id, a document with that set.
+    ``classes`` has node, n, d1, d2, bands, sketch and least_id, a document with that set. Classes without a
+    bucket in common with others are not listed.
     """
     keyed = classes.select("node", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("leader")).where("rows > 1")
@@ -364,13 +371,18 @@ def class_links(docs: DataFrame, classes: DataFrame, spec: SketchSpec = SketchSp
     best = likely.groupBy("u").agg(F.max(F.struct("agreeing", "v"))["v"].alias("v"))
     links = staged(verified(staged(best, "sketch-led"), sets, spec), "sketch-links")
 
-    placed = staged(with_components(known.select("node", "n", "sketch"), links, "sketch-led"), "sketch-placed")
+    placed = staged(with_leaders(known.select("node", "n", "sketch"), links), "sketch-placed")
     contested = join_hot(met.select("key", "node"), placed, "node", "inner")
     near = staged(possible_links(dealt(contested, "key", spec), spec), "sketch-near")
     clusters = connected_components(near, "sketch-clusters").select("node", F.col("root").alias("cluster"))
     inside = join_hot(join_hot(placed, staged(clusters, "sketch-clusters"), "node", "inner"), sets, "node", "inner")
-    late = staged(cell_links(dealt(inside, "cluster", spec), spec), "sketch-late")
-    return links.unionByName(late)
+    late = cell_links(dealt(inside, "cluster", spec), spec)
+    # Links between leaders: of the late ones, and of chains that were not followed to their end.
+    leader = placed.select(F.col("node").alias("u"), F.col("component").alias("a"))
+    between = join_hot(join_hot(links.unionByName(late), leader, "u", "inner"), leader.toDF("v", "b"), "v", "inner")
+    roots = staged(connected_components(between.where("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")), "sketch"), "sketch-roots")
+    rooted = join_hot(placed.select("node", "component"), roots.toDF("component", "root"), "component")
+    return rooted.select("node", F.coalesce("root", "component").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFrame:
@@ -380,9 +392,10 @@ def near_duplicates(docs: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFra
         F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     # Numbers are settled once the table is written.
     classes = staged(same.withColumn("node", F.monotonically_increasing_id()), "sketch-classes")
-    links = class_links(docs, classes, spec)
-    rooted = with_components(classes.select("node", "d1", "d2", "least_id"), links, "sketch")
-    rooted = staged(rooted, "sketch-rooted")
+    roots = class_components(docs, classes, spec)
+    rooted = staged(
+        join_hot(classes.select("node", "d1", "d2", "least_id"), roots, "node")
+        .select("d1", "d2", "least_id", F.coalesce("root", "node").alias("component")), "sketch-rooted")
     least = rooted.groupBy("component").agg(F.min("least_id").alias("component_id"))
     members = staged(join_hot(rooted, least, "component").select("d1", "d2", "component_id"), "sketch-members")
     part = F.pmod(F.col("d2"), F.lit(1 << 20)).alias("part")
