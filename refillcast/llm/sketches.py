@@ -31,7 +31,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,6 +63,29 @@ class SketchSpec:
     def coordinates(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def width(self) -> int:
+        """Bytes of a sketch."""
+        return self.coordinates
+
+    @property
+    def least(self) -> float:
+        """Least closeness of pairs to be verified."""
+        return self.floor * self.coordinates
+
+    def closeness(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Coordinates on which sketches agree."""
+        return (s == t).sum(axis=-1)
+
+    def discards(self, sketches: np.ndarray) -> Callable[[np.ndarray, int], np.ndarray]:
+        """A function that leaves those of some rows of a cell which may be close to one row; here, all."""
+        return lambda rows, i: rows
+
+    def summary(self, elements: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """Keys under which the set meets others, and its sketch."""
+        sketch = fill_sketch(elements, self.coordinates, self.seed)
+        return band_keys(sketch, self), sketch.astype(np.uint8).tobytes()
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
@@ -135,7 +158,7 @@ def digest(elements: np.ndarray) -> tuple[int, int]:
 
 
 def set_sketches(docs: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFrame:
-    """Columns doc_id, n (size of the set), d1, d2 (its digest), bands, sketch (a byte per coordinate)."""
+    """Columns doc_id, n (size of the set), d1, d2 (its digest), bands (keys), sketch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -145,13 +168,9 @@ def set_sketches(docs: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFrame:
                 own = shingle_set(text, known, spec.shingle)
                 sizes.append(len(own))
                 digests.append(digest(own))
-                if len(own):
-                    sketch = fill_sketch(own, spec.coordinates, spec.seed)
-                    bands.append(band_keys(sketch, spec))
-                    bytes_.append(sketch.astype(np.uint8).tobytes())
-                else:
-                    bands.append(None)
-                    bytes_.append(None)
+                keys, sketch = spec.summary(own) if len(own) else (None, None)
+                bands.append(keys)
+                bytes_.append(sketch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array([d[0] for d in digests], pa.int64()),
                  pa.array([d[1] for d in digests], pa.int64()), pa.array(bands, pa.list_(pa.int64())),
@@ -193,6 +212,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def matrix_of(sketches: list[bytes], spec: SketchSpec) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(-1, spec.width)
+
+
 class Forest:
     """Disjoint sets of 0, 1, ..."""
 
@@ -218,10 +241,9 @@ def likely_leaders(pairs: DataFrame, spec: SketchSpec) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("nu", "nv"))
-            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, spec.coordinates)
-                    for c in ("su", "sv"))
-            agreeing = (s == t).sum(axis=1)
-            kept = np.flatnonzero(sizes_allow(n, m, spec.percent) & (agreeing >= spec.floor * spec.coordinates))
+            s, t = (matrix_of(batch.column(c).to_pylist(), spec) for c in ("su", "sv"))
+            agreeing = spec.closeness(s, t).astype(np.int64)
+            kept = np.flatnonzero(sizes_allow(n, m, spec.percent) & (agreeing >= spec.least))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("u").take(pa.array(kept)), batch.column("v").take(pa.array(kept)), pa.array(agreeing[kept])],
                 ["u", "v", "agreeing"])
@@ -274,10 +296,19 @@ def cell_arrays(batch: pa.RecordBatch) -> Iterator[dict[str, list]]:
         yield {name: batch.column(name)[row].as_py() for name in batch.schema.names}
 
 
-def possible_pairs(n: np.ndarray, sketches: np.ndarray, i: int, spec: SketchSpec) -> np.ndarray:
-    """Rows of a cell that size and sketch allow to be similar to row i."""
-    fits = np.flatnonzero(sizes_allow(n, n[i], spec.percent))
-    return fits[(sketches[fits] == sketches[i]).sum(axis=1) >= spec.floor * spec.coordinates]
+class Cell:
+    """The rows of a cell: which of them size and sketch allow to be similar to one."""
+
+    def __init__(self, held: dict[str, list], spec: SketchSpec):
+        self.n, self.sketches, self.spec = np.array(held["n"]), matrix_of(held["sketch"], spec), spec
+        self.discards = spec.discards(self.sketches)
+
+    def near(self, i: int) -> np.ndarray:
+        """Possible rows, the closest first."""
+        fits = self.discards(np.flatnonzero(sizes_allow(self.n, self.n[i], self.spec.percent)), i)
+        closeness = self.spec.closeness(self.sketches[fits], self.sketches[i]).astype(np.int64)
+        kept = np.flatnonzero(closeness >= self.spec.least)
+        return fits[kept[np.argsort(-closeness[kept], kind="stable")]]
 
 
 def possible_links(cells: DataFrame, spec: SketchSpec) -> DataFrame:
@@ -287,10 +318,9 @@ def possible_links(cells: DataFrame, spec: SketchSpec) -> DataFrame:
         for batch in batches:
             left, right = [], []
             for cell in cell_arrays(batch):
-                sketches = np.frombuffer(b"".join(cell["sketch"]), dtype=np.uint8).reshape(-1, spec.coordinates)
-                n, component, forest = np.array(cell["n"]), np.array(cell["component"]), Forest(len(cell["n"]))
+                rows, component, forest = Cell(cell, spec), np.array(cell["component"]), Forest(len(cell["n"]))
                 for i in np.flatnonzero(cell["seeks"]):
-                    near = possible_pairs(n, sketches, i, spec)
+                    near = rows.near(i)
                     for j in near[component[near] != component[i]].tolist():
                         if forest.join(int(i), j):
                             left.append(cell["node"][i])
@@ -307,16 +337,13 @@ def cell_links(cells: DataFrame, spec: SketchSpec) -> DataFrame:
         for batch in batches:
             left, right = [], []
             for cell in cell_arrays(batch):
-                sketches = np.frombuffer(b"".join(cell["sketch"]), dtype=np.uint8).reshape(-1, spec.coordinates)
                 sets = [np.frombuffer(e, dtype=_U) for e in cell["elements"]]
-                n, forest, first = np.array(cell["n"]), Forest(len(sets)), {}
+                rows, forest, first = Cell(cell, spec), Forest(len(sets)), {}
                 for i, c in enumerate(cell["component"]):
                     forest.join(i, first.setdefault(c, i))
                 for i in np.flatnonzero(cell["seeks"]).tolist():
-                    near = possible_pairs(n, sketches, i, spec)
-                    agreeing = (sketches[near] == sketches[i]).sum(axis=1)
                     # The most similar first: later pairs are joined already, then.
-                    for j in near[np.argsort(-agreeing, kind="stable")].tolist():
+                    for j in rows.near(i).tolist():
                         if forest.root(i) != forest.root(j) and similar(sets[i], sets[j], spec.percent):
                             forest.join(i, j)
                             left.append(cell["node"][i])
@@ -386,7 +413,10 @@ def class_components(docs: DataFrame, classes: DataFrame, spec: SketchSpec = Ske
 
 
 def near_duplicates(docs: DataFrame, spec: SketchSpec = SketchSpec()) -> DataFrame:
-    """Columns doc_id, n_shingles, component_id (least document id reachable), kept."""
+    """Columns doc_id, n_shingles, component_id (least document id reachable), kept.
+
+    ``spec`` says what the sketches are; near copies by another kind of fingerprint have a spec of their own.
+    """
     own = staged(set_sketches(docs, spec), "sketches")
     same = own.where("n > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))

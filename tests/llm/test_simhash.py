@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from refillcast.llm.components import connected_components
-from refillcast.llm.simhash import SimHashSpec, fingerprint_links, hexadecimal, near_duplicates, pivots, spanning_links
+from refillcast.llm.simhash import (
+    SimHashSpec, fingerprint_links, hexadecimal, near_copies, near_duplicates, pivots, spanning_links)
 from .brute import brute_components, brute_fingerprint
 
 
@@ -64,3 +65,42 @@ def test_long_chain(spark):
 
 def test_empty_table(spark, documents):
     assert near_duplicates(documents([])).collect() == []
+
+
+def jaccard_components(texts, percent, size):
+    """Least index reachable over links of that similarity, every pair compared."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))} if w else set())
+    out = list(range(len(texts)))
+
+    def root(i):
+        while out[i] != i:
+            i = out[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                x, y = sorted((root(i), root(j)))
+                out[y] = x
+    return [root(i) for i in range(len(texts))]
+
+
+def test_near_copies_are_linked_by_verified_similarity(spark, documents):
+    rng = random.Random(9)
+    texts = [None, "", "one two", "ONE two"]
+    for _ in range(30):
+        base = [f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 400))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 4)):
+            copy = list(base)
+            for _ in range(max(1, int(len(copy) * rng.choice((0.004, 0.01, 0.06))))):
+                copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 9999)}"
+            texts.append(" ".join(copy))
+    want = jaccard_components(texts, 80, 5)
+    got = {r["doc_id"]: r["component_id"] for r in near_copies(documents(list(enumerate(texts)))).collect()}
+    # No false link, and of the pairs' links nine in ten and more.
+    assert all(want[got[i]] == want[i] for i in got)
+    assert sum(got[i] == want[i] for i in got) >= 0.95 * len(got)
