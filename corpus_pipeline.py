@@ -4,7 +4,7 @@ Each stage reads what its predecessor kept, written as Parquet in between. All s
 the columns they were given, whatever else these are called.
 
 Rows without a document id cannot be named by a decision on documents: they pass the stages that
-decide by id. Of rows that share an id, near-duplicate removal keeps one.
+decide by id.
 """
 
 from __future__ import annotations
@@ -37,11 +37,16 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
-    found = staged(simhash.near_duplicates(docs), "near-duplicates")
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(staged(first, "first-ids"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """Of each group of near copies (five-word shingles, similarity of 0.8) the document with the least id stays.
+
+    Documents without words stay. Of rows with one id and text one stays; rows with one id and different texts stay
+    where one of them does.
+    """
+    found = simhash.near_copies(docs)
+    first = staged(found.where("kept and doc_id is not null").select("doc_id").distinct(), "first-ids")
+    same = F.xxhash64("text").alias("hash of text")
+    kept = docs.join(first, "doc_id", "left_semi").select("*", same).dropDuplicates(["doc_id", "hash of text"])
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
