@@ -72,6 +72,10 @@ def test_planted_copies_are_found_and_nothing_else(spark, documents):
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("words", F.lit("clash"))
     got = contaminated(documents(docs).withColumn("start", F.lit("clash")), benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} >= want
+    # Every pair of all documents and items, scored by brute force.
+    plain = [(k, t.lower().replace(".", "").split()) for k, t in items]
+    whole = {(i, k) for i, t in docs for k, item in plain if may_reach(t.lower().split(), item, 0.5) and align(t.lower().split(), item)[0] >= 0.5}
+    assert {(r["doc_id"], r["item_id"]) for r in got} == whole and len(got) == len(whole)
     text = dict(docs)
     for r in got:
         words = text[r["doc_id"]].lower().split()
@@ -83,9 +87,9 @@ def test_planted_copies_are_found_and_nothing_else(spark, documents):
 def test_odd_rows(spark, documents):
     item = "one two three four five six seven"
     benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "one"), (None, "alpha beta gamma delta"), (1, item)], "item_id long, text string")
-    docs = documents([(1, item), (1, item), (None, f"x {item} y"), (3, None), (4, ""), (5, "one " * 50_000), (6, "z " * 30_000 + item), (7, "one")])
+    docs = documents([(1, item), (1, item), (None, f"x {item} y"), (3, None), (4, ""), (5, "one " * 50_000), (6, "z " * 30_000 + item), (7, "one"), (8, "so alpha beta gamma delta it goes")])
     got = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, benchmark).collect()}
-    assert got == {(1, 1), (None, 1), (6, 1)}
+    assert got == {(1, 1), (None, 1), (6, 1), (8, None)}
 
 
 def test_empty_tables(spark, documents):
