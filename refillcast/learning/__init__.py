@@ -1,3 +1,4 @@
+from refillcast.learning.categories import category_sizes, index_rows, number_categories
 from refillcast.learning.elastic_net import (
     ElasticNetSpec,
     FittedModel,
@@ -28,6 +29,7 @@ __all__ = [
     "assemble",
     "candidate_num_features",
     "category_frequencies",
+    "category_sizes",
     "coefficient_report",
     "cross_validate",
     "elastic_net",
@@ -37,6 +39,8 @@ __all__ = [
     "fold_of",
     "grid",
     "index_categories",
+    "index_rows",
+    "number_categories",
     "one_hot",
     "predict",
     "preprocess",

@@ -63,12 +63,21 @@ def select_top(k: int, label: str) -> UnivariateFeatureSelector:
 
 
 def preprocess(
-    cat_features: Sequence[str], num_features: Sequence[str], label: str, scaler_name: str, top_features: int
+    cat_features: Sequence[str],
+    num_features: Sequence[str],
+    label: str,
+    scaler_name: str,
+    top_features: int,
+    indexed: bool = False,
 ) -> Pipeline:
-    """The whole preprocessing; ``num_features`` are the column names to assemble."""
+    """The whole preprocessing; ``num_features`` are the column names to assemble.
+
+    ``indexed``: the rows have their categories' numbers already (``categories.index_rows``), so that no
+    label is held by the driver or the model.
+    """
     return Pipeline(
         stages=[
-            index_categories(cat_features),
+            *([] if indexed else [index_categories(cat_features)]),
             one_hot(cat_features),
             assemble([*[f"{c}__encoded" for c in cat_features], *num_features]),
             scaler(scaler_name),

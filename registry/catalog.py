@@ -679,9 +679,19 @@ def training_sql(body: str, **ctes: str) -> str:
     return with_inputs([], body, **TRAINING, **ctes)
 
 
+_NUMBERS: dict[tuple[str, str], DataFrame] = {}
+
+
+def numbers(spark, sf) -> DataFrame:
+    """The numbered category labels, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _NUMBERS:
+        _NUMBERS[key] = L.number_categories(staged(spark, sf, "training_rows"), CATS)
+    return _NUMBERS[key]
+
+
 def indexed(spark, sf):
-    rows = staged(spark, sf, "training_rows")
-    return L.index_categories(CATS).fit(rows).transform(rows)
+    return L.index_rows(staged(spark, sf, "training_rows"), numbers(spark, sf), CATS)
 
 
 @query("a09_category_frequencies", training_sql(" union all ".join(
@@ -966,8 +976,8 @@ def m06(spark, sf):
 
 
 def preprocessing(spark, sf):
-    rows = log_features(staged(spark, sf, "training_rows"), NUMS)
-    stages = L.preprocess(CATS, LOGGED, "label", "minmax", L.ElasticNetSpec().top_features)
+    rows = log_features(indexed(spark, sf), NUMS)
+    stages = L.preprocess(CATS, LOGGED, "label", "minmax", L.ElasticNetSpec().top_features, indexed=True)
     return stages.fit(rows), rows
 
 
@@ -1089,7 +1099,7 @@ def s11(spark, sf):
 
 def dictionary(spark, sf):
     model, rows = preprocessing(spark, sf)
-    return L.feature_dictionary(model, model.transform(rows), CATS, LOGGED)
+    return L.feature_dictionary(model, rows, CATS, LOGGED, numbers=numbers(spark, sf))
 
 
 @query("m12_feature_dictionary", training_sql(" union all ".join(
