@@ -477,22 +477,21 @@ def trailing_join(
     """Left join of target days to the event days of their trailing window.
 
     Both sides are reduced to days first, ``n_events`` carries how many events a day had, so
-    a target day meets at most the days of its window. The calendar month joins the equi key:
-    a day only meets the months its window touches, and a busy key spreads over its months.
-    Target days without events keep one row with NULL ``event_day``.
+    a target day meets at most the days of its window. Days lie in buckets as wide as the longest
+    window; the bucket joins the equi key, so a target day stands in two buckets at most, and a busy key
+    spreads over its buckets. Target days without events keep one row with NULL ``event_day``.
     """
     days = target_days(target, keys, target_ts).withColumnRenamed("day", "target_day")
     by_day = daily_events(events, keys, event_ts, {"n_events": F.count(F.lit(1))}).withColumnRenamed(
         "day", "event_day"
     )
-    month = lambda c: F.year(c) * 12 + F.month(c)
+    bucket = lambda day: F.floor(F.unix_date(day) / F.lit(31 * max_months))
+    first = window_start(F.col("target_day"), max_months)
     last = F.col("target_day") if include_zero else F.date_sub("target_day", 1)
-    touched = days.withColumn(
-        "month", F.explode(F.sequence(month(F.add_months("target_day", -max_months)), month(F.col("target_day"))))
-    )
-    inside = F.col("event_day").between(window_start(F.col("target_day"), max_months), last)
+    touched = days.withColumn("bucket", F.explode(F.array_distinct(F.array(bucket(first), bucket(last)))))
+    inside = F.col("event_day").between(first, last)
     met = (
-        touched.join(by_day.withColumn("month", month(F.col("event_day"))), [*keys, "month"])
+        touched.join(by_day.withColumn("bucket", bucket(F.col("event_day"))), [*keys, "bucket"])
         .where(inside)
         .select(*keys, "target_day", "event_day", "n_events")
     )

@@ -30,8 +30,7 @@ def previous_purchase(purchases: DataFrame) -> DataFrame:
         .groupBy(*product, F.to_date("purchase_dt").alias("day"))
         .agg(F.array_sort(F.collect_set("purchase_dt")).alias("times"))
     )
-    before = F.lag(F.element_at("times", F.when(F.size("times") > 0, F.lit(-1)))).over(
-        Window.partitionBy(*product).orderBy("day"))
+    before = F.lag(F.array_max("times")).over(Window.partitionBy(*product).orderBy("day"))
     pairs = F.when(F.size("times") > 0, F.transform(
         "times",
         lambda t, i: F.struct(
@@ -44,3 +43,33 @@ def previous_purchase(purchases: DataFrame) -> DataFrame:
 def replenishment_target(purchases: DataFrame) -> DataFrame:
     """Target table from raw purchases: every purchase that has an earlier one."""
     return with_gap(previous_purchase(purchases).where(F.col(LAST).isNotNull()))
+
+
+def last_purchases(purchases: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """The state of an incremental build: the last purchase time of each (customer, product), brought up to date."""
+    product = [CUSTOMER, "product_id"]
+    times = purchases.select(*product, F.col("purchase_dt").alias(LAST))
+    rows = times if state is None else times.unionByName(state.select(*product, LAST))
+    return rows.groupBy(*product).agg(F.max(LAST).alias(LAST)).where(F.col(LAST).isNotNull())
+
+
+def target_increment(state: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Target rows of purchases that are later than the state of their customer and product.
+
+    Only the new purchases are sorted; the first of each pair takes its predecessor from the state. Purchases at the
+    state's time or before are not looked at: the former is in the target already, the latter came too late for it
+    (``late_purchases``).
+    """
+    known = state.select(F.col(CUSTOMER).alias("known_customer"), F.col("product_id").alias("known_product"), F.col(LAST).alias("known"))
+    same = F.col(CUSTOMER).eqNullSafe(F.col("known_customer")) & F.col("product_id").eqNullSafe(F.col("known_product"))
+    fresh = previous_purchase(purchases.where(F.col("purchase_dt").isNotNull())).join(known, same, "left")
+    later = fresh.where(F.col("known").isNull() | (F.col("purchase_dt") > F.col("known")))
+    before = F.greatest(F.col(LAST), F.col("known")).alias(LAST)
+    return with_gap(later.select(*TARGET_KEY, before).where(F.col(LAST).isNotNull()))
+
+
+def late_purchases(state: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Purchases before the state's time: an incremental build leaves them out, a whole one would not."""
+    known = state.select(F.col(CUSTOMER).alias("known_customer"), F.col("product_id").alias("known_product"), F.col(LAST).alias("known"))
+    same = F.col(CUSTOMER).eqNullSafe(F.col("known_customer")) & F.col("product_id").eqNullSafe(F.col("known_product"))
+    return purchases.join(known, same & (F.col("purchase_dt") < F.col("known")), "left_semi")

@@ -1,7 +1,7 @@
 from refillcast.sources.delimited import read_delimited
 from refillcast.sources.exports import EXPORTS, Export, land, load
 from refillcast.sources.orders import load_product_config, scan_orders
-from refillcast.sources.sinks import save_model, write_report, write_table
+from refillcast.sources.sinks import replace_partitions, save_model, write_report, write_table
 
 __all__ = [
     "EXPORTS",
@@ -10,6 +10,7 @@ __all__ = [
     "load",
     "load_product_config",
     "read_delimited",
+    "replace_partitions",
     "save_model",
     "scan_orders",
     "write_report",

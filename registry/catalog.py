@@ -33,6 +33,7 @@ from refillcast.sources import (
     load,
     load_product_config,
     read_delimited,
+    replace_partitions,
     save_model,
     scan_orders,
     write_report,
@@ -164,6 +165,18 @@ def s09(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("s09_replace_partitions", over("transactional_quantity", """
+select customer_entity_id, product_id, purchase_dt, case when year(purchase_dt) = 1995 then -quantity else quantity end as quantity,
+       cast(year(purchase_dt) as int) as bought_in from {t} where purchase_dt is not null"""))
+def s09_partitions(spark, sf):
+    """A table by year of which one year is replaced; the other years stay."""
+    path, columns = fresh_path(spark, "by-year"), ["customer_entity_id", "product_id", "purchase_dt", "quantity", "bought_in"]
+    rows = staged(spark, sf, "transactional_quantity").where("purchase_dt is not null").withColumn("bought_in", F.year("purchase_dt"))
+    replace_partitions(rows.select(columns), path, "bought_in")
+    replace_partitions(rows.where("bought_in = 1995").withColumn("quantity", -F.col("quantity")).select(columns), path, "bought_in")
+    return spark.read.parquet(path).select(columns)
+
+
 @query("s10_write_report", over("products", """
 select item_id, first_category, second_category, third_category, brand, cast(price as varchar) as price from {t}"""))
 def s10(spark, sf):
@@ -827,6 +840,17 @@ def c01(spark, sf):
     return target_plan.replenishment_target(staged(spark, sf, "transactional_quantity"))
 
 
+@query("w04_incremental_target", over("replenishment_target", "select * from {t}"))
+def w04_increments(spark, sf):
+    """The target in two increments, with the state of the first written in between."""
+    purchases = staged(spark, sf, "transactional_quantity")
+    early, late = purchases.where("purchase_dt < timestamp'1995-06-17'"), purchases.where("purchase_dt >= timestamp'1995-06-17'")
+    path = fresh_path(spark, "last-purchases")
+    write_table(target_plan.last_purchases(early), path)
+    state = spark.read.parquet(path)
+    return target_plan.replenishment_target(early).unionByName(target_plan.target_increment(state, late))
+
+
 @query("trailing_quantity", with_inputs(["replenishment_target"], oracle.trailing_quantity()))
 def c02(spark, sf):
     return quantity_features(spark, sf)

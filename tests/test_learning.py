@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.ml.functions import vector_to_array
@@ -7,6 +8,7 @@ from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import functions as F
 
 from refillcast import learning as L
+from refillcast.learning import moments as M
 from refillcast.session import fresh_path
 from refillcast.sources import save_model
 
@@ -110,3 +112,29 @@ def test_unknown_scaler_is_rejected():
 def test_only_minmax_has_ranges(spark, planted):
     stages = L.preprocess(CATS, NUMS, "y", "standard", 3)
     assert L.slot_ranges(stages.fit(planted), spark) is None
+
+
+def violation(model, data, label, spec_point):
+    """How far a fit is from the optimum's conditions, against the greatest covariance with the label."""
+    rows_ = data.select("selected_features", label).collect()
+    c = np.cov(np.array([[*r[0].toArray(), r[1]] for r in rows_]).T, bias=True)
+    mix, penalty = spec_point
+    gram, cross, w = c[:-1, :-1], c[:-1, -1], model.coefficients.toArray()
+    moving = np.diag(gram) > 1e-12
+    return M.optimality(gram[np.ix_(moving, moving)], cross[moving], w[moving], mix * penalty, (1 - mix) * penalty / c[-1, -1] ** 0.5) / np.abs(cross).max()
+
+
+def test_report_coefficients_meet_the_conditions_of_the_optimum(fitted):
+    best = fitted.cv_model.bestModel
+    point = best.getOrDefault("elasticNetParam"), best.getOrDefault("regParam")
+    assert violation(best, fitted.data, "y", point) < 1e-3
+    told = {r["feature_id"]: r["coefficients"] for r in fitted.report.where("is_selected = 1").collect()}
+    chosen = sorted(fitted.preprocessing.stages[-1].selectedFeatures)
+    assert told == dict(zip(chosen, best.coefficients.toArray().tolist()))
+
+
+def test_fits_in_a_row_agree(planted):
+    """Ten fits in one session, none of which may fail."""
+    small = planted.where("id < 120")
+    metrics = [L.fit_replenishment_model(small, SPEC).cv_model.avgMetrics for _ in range(10)]
+    assert all(m == pytest.approx(metrics[0], rel=1e-9) for m in metrics)

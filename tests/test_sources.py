@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from refillcast.sources import (
     load,
     load_product_config,
     read_delimited,
+    replace_partitions,
     scan_orders,
     write_report,
     write_table,
@@ -116,3 +118,18 @@ def test_orders_until_is_inclusive_and_pushed_down(spark):
     df = scan_orders(spark, path, "2022-12-20")
     assert rows(df, "customer_email") == [("a",)]
     assert "LessThanOrEqual(created_at__item" in df._jdf.queryExecution().toString()
+
+
+def test_replace_partitions_keeps_other_dates_and_survives_a_failed_write(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    day = lambda k, v: spark.createDataFrame([(v, k)], "value int, run_date int")
+    replace_partitions(day(1, 10).unionByName(day(2, 20)), path, "run_date")
+    replace_partitions(day(2, 21), path, "run_date")
+    held = lambda: sorted(tuple(r) for r in spark.read.parquet(path).select("run_date", "value").collect())
+    assert held() == [(1, 10), (2, 21)]
+    broken = day(1, 11).unionByName(day(3, 0)).selectExpr("10 div value as value", "run_date")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        replace_partitions(broken, path, "run_date")
+    assert held() == [(1, 10), (2, 21)]
+    replace_partitions(day(1, 5).where("false"), path, "run_date")
+    assert held() == [(1, 10), (2, 21)]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from refillcast.functions import window_start
 from refillcast.operators import topk, trailing
 from refillcast.operators.trailing import TARGET_KEY, WINDOWS, Channel
-from refillcast.plans.target import previous_purchase, replenishment_target
+from refillcast.plans.target import (
+    last_purchases, late_purchases, previous_purchase, replenishment_target, target_increment)
 
 KEYS = ["customer_entity_id", "product_id"]
 TARGET = "customer_entity_id string, product_id string, purchase_dt timestamp"
@@ -268,3 +269,43 @@ def test_plan_lists_nothing(spark, capsys):
     count_views(t, v).explain()
     plan = capsys.readouterr().out
     assert "collect_list" not in plan and "Window" in plan
+
+
+@pytest.mark.parametrize("months, include_zero", [(12, True), (12, False), (1, True)])
+def test_trailing_join_meets_two_buckets_at_most(spark, months, include_zero):
+    """The pairs of the plain join, from at most two rows per target day before the join."""
+    rng = random.Random(13)
+    t, v = target_of(spark, *skewed(rng, 200)), views_of(spark, *skewed(rng, 600))
+    got = trailing.trailing_join(t, v, KEYS, "viewed_dt", max_months=months, include_zero=include_zero)
+    days, events = t.select(*KEYS, F.to_date("purchase_dt").alias("d")).distinct(), v.select(*KEYS, F.to_date("viewed_dt").alias("e"))
+    far = F.months_between("d", "e")
+    want = days.join(events, KEYS).where(far.between(0, months) & ((far > 0) | F.lit(include_zero)))
+    assert rows(got.where("event_day is not null"), *KEYS, "target_day", "event_day", "n_events") == rows(
+        want.groupBy(*KEYS, "d", "e").count())
+    plan = got._jdf.queryExecution().optimizedPlan()
+    generated = [line for line in plan.toString().splitlines() if "Generate" in line]
+    assert len(generated) == 1 and "bucket" in generated[0] and "sequence" not in generated[0]
+
+
+def purchases_of(spark, rng, n):
+    data = [(rng.choice(["c", "d", None]), rng.choice(["p", "q", None]), at(random_time(rng)), 1.0) for _ in range(n)]
+    data += [("c", "p", None, 1.0), ("c", "p", at("2020-06-01 10:00"), 1.0), ("c", "p", at("2020-06-01 10:00"), 2.0)]
+    return spark.createDataFrame(data, "customer_entity_id string, product_id string, purchase_dt timestamp, quantity double")
+
+
+def test_increments_equal_the_whole_build(spark):
+    """Month after month, with the state handed on; NULL keys and repeated times included."""
+    bought = purchases_of(spark, random.Random(21), 120)
+    cuts = ["2019-01-01", "2019-07-01", "2020-06-01", "2020-06-02", "2022-01-01"]
+    state, built = last_purchases(bought.where("false")), None
+    for a, b in zip(cuts, cuts[1:]):
+        batch = bought.where(f"purchase_dt >= '{a}' and purchase_dt < '{b}'")
+        # The last batch's rows come again: times that the state knows are not counted twice.
+        part = target_increment(state, batch.unionByName(batch))
+        built = part if built is None else built.unionByName(part)
+        state = last_purchases(batch, state)
+    whole = replenishment_target(bought)
+    assert rows(built.select(whole.columns)) == rows(whole) and whole.count() > 50
+    assert late_purchases(state, bought).count() == bought.where("purchase_dt is not null").count() - bought.alias("b").join(
+        state.alias("s"), F.expr("b.customer_entity_id <=> s.customer_entity_id and b.product_id <=> s.product_id"
+                                 " and b.purchase_dt = s.last_purchase_dt"), "left_semi").count()
