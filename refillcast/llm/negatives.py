@@ -61,7 +61,7 @@ def usable(vectors: DataFrame, label: Column, spec: NegativeSpec = NegativeSpec(
         "vec_id is not null and label is not null and embedding is not null").where(fine)
     whole = rows.select("vec_id", "label", F.transform(x, lambda c: F.floor(c * spec.scale).cast("int")).alias("v")).distinct()
     numbered = staged(whole.withColumn("row", F.monotonically_increasing_id()), "negative-rows")
-    size = numbered.agg(F.max(F.size("v"))).first()[0] or 0
+    size = numbered.agg(F.max(F.size("v"))).first()[0] or 1
     padding = F.array_repeat(F.lit(0), F.lit(size) - F.size("v"))
     return numbered.select("row", "vec_id", "label", F.concat("v", padding).alias("v"))
 
@@ -76,8 +76,8 @@ def threshold_search(
     n = ascending.shape[1]
     up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
     if not len(up) + len(down):
-        # Every score is zero, and no list tells rows apart.
-        return np.arange(n), np.zeros(n, dtype=np.int64)
+        # Every score is zero, and any list has all rows.
+        return ascending[0], np.zeros(n, dtype=np.int64)
     seen, rows, scores = np.zeros(len(values), dtype=bool), [], []
     at, to = 0, min(first_depth, n)
     open_ = list(windows)
