@@ -10,6 +10,9 @@ duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
 
+from test_learning import violation  # noqa: E402
+
+from registry import catalog  # noqa: E402
 from registry.catalog import ORACLES, QUERIES  # noqa: E402
 from registry.inputs import INPUT_SQL, duck_text  # noqa: E402
 
@@ -56,5 +59,17 @@ def test_query_without_sql_gives_rows(spark, name):
     assert not QUERIES[name](spark, DATA).isEmpty()
 
 
+def test_fit_meets_the_conditions_of_the_optimum(spark):
+    """The coefficients behind m14 and m17, slot by slot, from the rows they were fitted on."""
+    fitted = catalog.fitted(spark, DATA)
+    best = fitted.cv_model.bestModel
+    point = best.getOrDefault("elasticNetParam"), best.getOrDefault("regParam")
+    assert violation(best, fitted.data, fitted.spec.label, point) < 1e-3
+    metrics = fitted.cv_model.avgMetrics
+    maps = fitted.cv_model.getEstimatorParamMaps()
+    chosen = {p.name: v for p, v in maps[metrics.index(min(metrics))].items()}
+    assert point == (chosen["elasticNetParam"], chosen["regParam"]) and len(metrics) == len(maps) == 42
+
+
 def test_inputs_have_no_open_words():
     assert all("[" not in duck_text(text) for text in INPUT_SQL.values())
