@@ -227,6 +227,7 @@ class NearCopySpec(SketchSpec):
     radius: int = 60
     n_pivots: int = 16
     seed: int = 42
+    screen: bool = True
 
     @property
     def width(self) -> int:

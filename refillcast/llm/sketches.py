@@ -58,6 +58,8 @@ class SketchSpec:
     #: Pairs whose sketches agree on a smaller share are not verified: 5.8 standard deviations under 0.85.
     floor: float = 0.70
     most_per_cell: int = 1024
+    #: Whether to compare the sketches of each bucket before anything else: for keys that meet by chance often.
+    screen: bool = False
 
     @property
     def coordinates(self) -> int:
@@ -265,6 +267,41 @@ def verified(pairs: DataFrame, sets: DataFrame, spec: SketchSpec) -> DataFrame:
     return whole.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def screened(met: DataFrame, classes: DataFrame, spec: SketchSpec) -> DataFrame:
+    """The rows (key, node, leader) of buckets that size and sketch allow to be similar to another row of the bucket.
+
+    ``met`` has the number of rows of each bucket; buckets over ``most_per_cell`` pass as they are.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("held")
+            flat, sizes = column.flatten(), np.diff(np.asarray(column.offsets))
+            node, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n"))
+            sketches = matrix_of(flat.field("sketch").to_pylist(), spec)
+            bucket = np.repeat(np.arange(len(sizes)), sizes)
+            after = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(node)) - 1
+            close = np.zeros(len(node), dtype=bool)
+            # Every row with the one so many places after it, in all buckets at once.
+            for d in range(1, int(sizes.max(initial=0))):
+                i = np.flatnonzero(after >= d)
+                i = i[sizes_allow(n[i], n[i + d], spec.percent)]
+                i = i[spec.closeness(sketches[i], sketches[i + d]) >= spec.least]
+                close[i] = close[i + d] = True
+            kept = np.flatnonzero(close)
+            least = np.full(len(sizes), np.iinfo(np.int64).max)
+            np.minimum.at(least, bucket[kept], node[kept])
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in (keys[bucket[kept]], node[kept], least[bucket[kept]])], ["key", "node", "leader"])
+
+    small = met.where(F.col("rows") <= spec.most_per_cell).select("key", "node")
+    known = join_hot(small, classes.select("node", "n", "sketch"), "node", "inner")
+    cells = known.groupBy("key").agg(F.collect_list(F.struct("node", "n", "sketch")).alias("held"))
+    large = met.where(F.col("rows") > spec.most_per_cell).select("key", "node", "leader")
+    return cells.mapInArrow(run, "key long, node long, leader long").unionByName(large)
+
+
 def dealt(rows: DataFrame, group: str, spec: SketchSpec) -> DataFrame:
     """Rows (group, node, component, ...) of the groups with more than one component, in cells.
 
@@ -386,7 +423,9 @@ def class_components(docs: DataFrame, classes: DataFrame, spec: SketchSpec = Ske
     """
     keyed = classes.select("node", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("leader")).where("rows > 1")
-    met = staged(join_hot(keyed, buckets.select("key", "leader"), "key", "inner"), "sketch-buckets")
+    met = staged(join_hot(keyed, buckets, "key", "inner").select("key", "node", "leader", "rows"), "sketch-buckets")
+    if spec.screen:
+        met = staged(screened(met, classes, spec), "sketch-screened")
     nodes = staged(met.select("node").distinct(), "sketch-met")
     known = staged(classes.join(nodes, "node", "left_semi").select("node", "n", "sketch", "d1", "d2", "least_id"), "sketch-known")
     sets = staged(sets_of(docs, known, spec), "sketch-sets")
