@@ -58,8 +58,11 @@ class SketchSpec:
     #: Pairs whose sketches agree on a smaller share are not verified: 5.8 standard deviations under 0.85.
     floor: float = 0.70
     most_per_cell: int = 1024
-    #: Whether to compare the sketches of each bucket before anything else: for keys that meet by chance often.
+    #: Whether to join classes with the leaders they share most keys with, and to compare the sketches of each bucket, before
+    #: anything else: for keys that meet by chance often.
     screen: bool = False
+    #: So many leaders of a class are tried then; what they do not join is left to the buckets.
+    most_leaders: int = 3
 
     @property
     def coordinates(self) -> int:
@@ -267,17 +270,40 @@ def verified(pairs: DataFrame, sets: DataFrame, spec: SketchSpec) -> DataFrame:
     return whole.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def screened(met: DataFrame, classes: DataFrame, spec: SketchSpec) -> DataFrame:
-    """The rows (key, node, leader) of buckets that size and sketch allow to be similar to another row of the bucket.
+def frequent_leaders(met: DataFrame, spec: SketchSpec) -> DataFrame:
+    """Pairs (u, v) of each class with the leaders it shares most keys with. A class has one row a key at most."""
+    counts = met.where("node != leader").repartition("node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("keys"))
+    ranked = counts.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("keys", "leader")), asc=False).alias("led"))
+    return ranked.select(F.col("node").alias("u"), F.explode(F.slice("led.leader", 1, spec.most_leaders)).alias("v"))
 
-    ``met`` has the number of rows of each bucket; buckets over ``most_per_cell`` pass as they are.
+
+def leader_links(docs: DataFrame, led: DataFrame, known: DataFrame, spec: SketchSpec, sets: DataFrame | None = None) -> DataFrame:
+    """Verified links (u, v) of classes with the most similar one of their leaders, one a class at most.
+
+    Without ``sets``, the full sets of the classes that remain to be verified are read.
+    """
+    one = known.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
+    other = known.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
+    likely = likely_leaders(join_hot(join_hot(led, one, "u", "inner"), other, "v", "inner"), spec)
+    best = staged(likely.groupBy("u").agg(F.max(F.struct("agreeing", "v"))["v"].alias("v")), "sketch-led")
+    if sets is None:
+        ends = best.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        sets = staged(sets_of(docs, known.join(ends, "node", "left_semi"), spec), "sketch-led-sets")
+    return staged(verified(best, sets, spec), "sketch-links")
+
+
+def screened(met: DataFrame, placed: DataFrame, spec: SketchSpec) -> DataFrame:
+    """The rows (key, node, leader) of buckets that size and sketch allow to be similar to one of another component.
+
+    ``met`` has the number of rows of each bucket, ``placed`` the component of each class. Buckets of one component have no such
+    rows; others over ``most_per_cell`` pass as they are.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("held")
             flat, sizes = column.flatten(), np.diff(np.asarray(column.offsets))
-            node, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n"))
+            node, n, component = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "component"))
             sketches = matrix_of(flat.field("sketch").to_pylist(), spec)
             bucket = np.repeat(np.arange(len(sizes)), sizes)
             after = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(node)) - 1
@@ -285,7 +311,7 @@ def screened(met: DataFrame, classes: DataFrame, spec: SketchSpec) -> DataFrame:
             # Every row with the one so many places after it, in all buckets at once.
             for d in range(1, int(sizes.max(initial=0))):
                 i = np.flatnonzero(after >= d)
-                i = i[sizes_allow(n[i], n[i + d], spec.percent)]
+                i = i[(component[i] != component[i + d]) & sizes_allow(n[i], n[i + d], spec.percent)]
                 i = i[spec.closeness(sketches[i], sketches[i + d]) >= spec.least]
                 close[i] = close[i + d] = True
             kept = np.flatnonzero(close)
@@ -295,11 +321,15 @@ def screened(met: DataFrame, classes: DataFrame, spec: SketchSpec) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.int64()) for x in (keys[bucket[kept]], node[kept], least[bucket[kept]])], ["key", "node", "leader"])
 
-    small = met.where(F.col("rows") <= spec.most_per_cell).select("key", "node")
-    known = join_hot(small, classes.select("node", "n", "sketch"), "node", "inner")
-    cells = known.groupBy("key").agg(F.collect_list(F.struct("node", "n", "sketch")).alias("held"))
-    large = met.where(F.col("rows") > spec.most_per_cell).select("key", "node", "leader")
-    return cells.mapInArrow(run, "key long, node long, leader long").unionByName(large)
+    known = join_hot(met, placed.select("node", "n", "sketch", "component"), "node", "inner")
+    small = known.where(F.col("rows") <= spec.most_per_cell).groupBy("key").agg(
+        F.collect_list(F.struct("node", "n", "sketch", "component")).alias("held"))
+    mixed_cells = small.where(F.array_min("held.component") != F.array_max("held.component"))
+    large = met.where(F.col("rows") > spec.most_per_cell)
+    several = join_hot(large, placed.select("node", "component"), "node", "inner").groupBy("key").agg(
+        F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
+    passed = join_hot(large, several.select("key", F.lit(True).alias("several")), "key", "inner").select("key", "node", "leader")
+    return mixed_cells.mapInArrow(run, "key long, node long, leader long").unionByName(passed)
 
 
 def dealt(rows: DataFrame, group: str, spec: SketchSpec) -> DataFrame:
@@ -424,20 +454,27 @@ def class_components(docs: DataFrame, classes: DataFrame, spec: SketchSpec = Ske
     keyed = classes.select("node", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("leader")).where("rows > 1")
     met = staged(join_hot(keyed, buckets, "key", "inner").select("key", "node", "leader", "rows"), "sketch-buckets")
+    early = None
     if spec.screen:
-        met = staged(screened(met, classes, spec), "sketch-screened")
-    nodes = staged(met.select("node").distinct(), "sketch-met")
+        early = leader_links(docs, frequent_leaders(met, spec), classes, spec)
+        placed = staged(with_leaders(classes.select("node", "n", "sketch"), early), "sketch-early")
+        met = staged(screened(met, placed, spec), "sketch-screened")
+    nodes = met.select("node")
+    if early is not None:
+        nodes = nodes.unionByName(early.select(F.explode(F.array("u", "v")).alias("node")))
+    nodes = staged(nodes.distinct(), "sketch-met")
     known = staged(classes.join(nodes, "node", "left_semi").select("node", "n", "sketch", "d1", "d2", "least_id"), "sketch-known")
-    sets = staged(sets_of(docs, known, spec), "sketch-sets")
+    sought = known if early is None else known.join(met.select("node").distinct(), "node", "left_semi")
+    sets = staged(sets_of(docs, sought, spec), "sketch-sets")
 
     led = met.where("node != leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
-    one = known.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
-    other = known.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-    likely = likely_leaders(join_hot(join_hot(led, one, "u", "inner"), other, "v", "inner"), spec)
-    best = likely.groupBy("u").agg(F.max(F.struct("agreeing", "v"))["v"].alias("v"))
-    links = staged(verified(staged(best, "sketch-led"), sets, spec), "sketch-links")
+    links = leader_links(docs, led, known, spec, sets)
+    onward = links
+    if early is not None:
+        links = links.unionByName(early)
+        onward = links.groupBy("u").agg(F.min("v").alias("v"))
 
-    placed = staged(with_leaders(known.select("node", "n", "sketch"), links), "sketch-placed")
+    placed = staged(with_leaders(known.select("node", "n", "sketch"), onward), "sketch-placed")
     contested = join_hot(met.select("key", "node"), placed, "node", "inner")
     near = staged(possible_links(dealt(contested, "key", spec), spec), "sketch-near")
     clusters = connected_components(near, "sketch-clusters").select("node", F.col("root").alias("cluster"))
