@@ -119,7 +119,7 @@ class Condition:
 
 @dataclass(frozen=True)
 class CoverSpec:
-    #: Cells between a feature's least and largest value in which thresholds are sought.
+    #: Cells of about equal numbers of labelled rows, between whose borders thresholds are sought.
     cells: int = 64
     most_rules: int = 8
     most_conditions: int = 3
@@ -151,36 +151,42 @@ def gain(bad: float, good: float, all_bad: float, all_good: float) -> float:
 
 
 def best_condition(rows: DataFrame, spec: CoverSpec) -> tuple[Condition, float] | None:
-    """The threshold with the highest gain, from one aggregate of cell counts."""
+    """The threshold with the highest gain, from one aggregate of cell counts.
+
+    Cells lie between quantiles of the rows that are left, so outliers do not widen them. A cell's own least and
+    largest values are counted with it: the threshold is the middle between a cell and the next one.
+    """
     values = {name: F.expr(text).cast("double") for name, text in FEATURES.items()}
-    ends = rows.agg(*[f(v).alias(f"{n}_{k}") for n, v in values.items() for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    shares = F.array(*[F.lit(k / spec.cells) for k in range(1, spec.cells)])
+    borders = rows.agg(*[F.percentile_approx(v, shares, F.lit(100 * spec.cells)).alias(n) for n, v in values.items()]).first()
     cells = []
     for name, value in values.items():
-        lo, hi = ends[f"{name}_lo"], ends[f"{name}_hi"]
-        if lo is None or hi <= lo:
+        inner = sorted(set(borders[name] or []))
+        if not inner:
             continue
-        cell = F.least(F.floor((value - lo) / ((hi - lo) / spec.cells)), F.lit(spec.cells - 1))
-        cells.append(F.struct(F.lit(name).alias("feature"), cell.cast("int").alias("cell")))
+        # The number of borders below the value: a value equal to a border belongs to the cell below it.
+        cell = sum(((value > F.lit(b)).cast("int") for b in inner), F.lit(0))
+        cells.append(F.struct(F.lit(name).alias("feature"), cell.alias("cell"), value.alias("value")))
     if not cells:
         return None
     # At most len(FEATURES) * cells rows.
     found = (
         rows.select("bad", F.explode(F.array(*cells)).alias("c"))
-        .groupBy("c.feature", "c.cell").agg(F.sum(F.col("bad").cast("long")).alias("bad"), F.count(F.lit(1)).alias("n"))
+        .groupBy("c.feature", "c.cell").agg(
+            F.sum(F.col("bad").cast("long")).alias("bad"), F.count(F.lit(1)).alias("n"),
+            F.min("c.value").alias("lo"), F.max("c.value").alias("hi"))
         .collect()
     )
     best = None
     for name in FEATURES:
-        own = sorted((r["cell"], r["bad"], r["n"] - r["bad"]) for r in found if r["feature"] == name)
-        if not own:
-            continue
-        lo, hi = ends[f"{name}_lo"], ends[f"{name}_hi"]
+        own = sorted((r["cell"], r["bad"], r["n"] - r["bad"], r["lo"], r["hi"]) for r in found if r["feature"] == name)
         all_bad, all_good = sum(r[1] for r in own), sum(r[2] for r in own)
         bad = good = 0
-        for (cell, b, g), following in zip(own, own[1:]):
+        for (_, b, g, _, hi), following in zip(own, own[1:]):
             bad, good = bad + b, good + g
-            # The middle of the empty cells between two filled ones.
-            cut = lo + (hi - lo) / spec.cells * ((cell + 1 + following[0]) / 2)
+            # Neighbouring doubles have no middle of their own; the lower one separates them as well.
+            cut = (hi + following[3]) / 2
+            cut = cut if cut < following[3] else hi
             for above, x, y in ((False, bad, good), (True, all_bad - bad, all_good - good)):
                 value = gain(x, y, all_bad, all_good)
                 if best is None or value > best[1] + 1e-9:

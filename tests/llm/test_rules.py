@@ -57,6 +57,20 @@ def test_planted_rules_are_found(spark):
     assert all(r["kept"] == (not r["bad"]) for r in got)
 
 
+def test_one_outlier_does_not_hide_a_threshold(spark):
+    """A labelled row with very many marks, and one very long word, leave the other rows told apart."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        bad = i % 4 == 0
+        calls = rng.randint(60, 90) if bad else rng.randint(0, 30)
+        rows.append((i, 100, 500, 0, 0, 0, 90, 10, calls, 0, False, bad))
+    rows += [(i, 10, 5_000_000, 0, 0, 0, 10, 1, 1_000_000, 0, False, True) for i in range(600, 603)]
+    frame = statistics(spark, rows)
+    got = quality_verdicts(frame, learn_rules(frame)).collect()
+    assert all(r["kept"] == (not r["bad"]) for r in got)
+
+
 def test_without_labels_only_base_rules_decide(spark):
     frame = statistics(spark, [])
     assert learn_rules(frame, CoverSpec()) == []
