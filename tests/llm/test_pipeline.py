@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from .brute import brute_components, brute_fingerprint, brute_score
+from .brute import brute_score
 from .test_mixing import skewed
+from .test_sketches import brute
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -53,8 +54,9 @@ def test_stages_decide_and_keep_columns(spark, corpus):
     assert {i for i in gone if i is not None} <= {i for i in kind if kind[i] == "toxic"}
     assert len(gone) >= 38
     ids = [i for i in kept["toxicity"] if i is not None]
-    least = brute_components([brute_fingerprint(text[i]) for i in ids], ids)
-    assert sorted(i for i in kept["near_duplicates"] if i is not None) == sorted(set(least))
+    # Five-word shingles, similarity of 0.8, every pair compared; documents without words stay.
+    least = {i: c for i, _, c in brute([(i, text[i]) for i in ids], percent=80, size=5)}
+    assert sorted(i for i in kept["near_duplicates"] if i is not None) == sorted(set(least.values()))
     leaks = {i for i in kept["near_duplicates"] if i is not None
              and any(brute_score((text[i] or "").split(), t.split()) >= 0.5 for t in items.values())}
     assert leaks and set(kept["decontamination"]) == set(kept["near_duplicates"]) - leaks

@@ -15,9 +15,9 @@ def sets_of(texts, size=3):
     return out
 
 
-def brute(pairs, percent=85):
+def brute(pairs, percent=85, size=3):
     """(id, set size, least id reachable) with every pair of sets compared."""
-    sets = sets_of([t for _, t in pairs])
+    sets = sets_of([t for _, t in pairs], size)
     left, out = set(range(len(pairs))), {}
     while left:
         todo, group = [left.pop()], []
