@@ -165,3 +165,10 @@ def test_hot_key_is_split_even_against_an_aggregate(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_product_totals_are_not_joined_back(inputs):
+    """The target's rows go through the product's windows themselves."""
+    plan = modelling_data(inputs)._jdf.queryExecution().optimizedPlan().toString()
+    joins_on = [line for line in plan.splitlines() if "Join" in line]
+    assert joins_on and not any("product_id" in line and "day#" in line for line in joins_on)

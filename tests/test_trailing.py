@@ -309,3 +309,26 @@ def test_increments_equal_the_whole_build(spark):
     assert late_purchases(state, bought).count() == bought.where("purchase_dt is not null").count() - bought.alias("b").join(
         state.alias("s"), F.expr("b.customer_entity_id <=> s.customer_entity_id and b.product_id <=> s.product_id"
                                  " and b.purchase_dt = s.last_purchase_dt"), "left_semi").count()
+
+
+def test_counts_of_a_channel_around_month_ends(spark):
+    """Counts of a slot equal those of the plain windows on every day of a leap year and its neighbours."""
+    days = spark.sql("select explode(sequence(date'2022-12-25', date'2024-05-31')) as day")
+    target = days.selectExpr("'c' as customer_entity_id", "'p' as product_id", "cast(day as timestamp) as purchase_dt")
+    events = days.selectExpr(
+        "'c' as customer_entity_id", "'p' as product_id", "cast(day as timestamp) as at", "'a' as label", "pmod(hash(day), 3) as n"
+    ).selectExpr("*", "explode(sequence(0, n)) as nth")
+    for include_zero in (True, False):
+        got = trailing.topk_trailing(target, events, channel(k=1, mode="count", include_zero=include_zero))
+        plain = trailing.trailing_count(target, events, KEYS, "view", "at", include_zero=include_zero)
+        assert rows(got, "purchase_dt", *[f"slot_1__last{w}m_x" for w in WINDOWS]) == rows(plain, "purchase_dt", *COUNTS)
+
+
+def test_target_days_stay_single_rows_in_channel_windows(spark):
+    """No row per window and target day, and no aggregate over hundreds of columns behind the window."""
+    events = labelled(spark, ("c", "2022-03-15 08:00", "a"))
+    t = target_of(spark, ("c", "p", "2022-03-15 10:00"))
+    plan = trailing.channel_totals(t, [(channel(mode="count"), events)])._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window [" in line and "adds" in line)
+    assert "inline(" not in plan and not any("Aggregate" in line for line in lines[:window])
