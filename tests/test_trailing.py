@@ -332,3 +332,17 @@ def test_target_days_stay_single_rows_in_channel_windows(spark):
     lines = plan.splitlines()
     window = next(i for i, line in enumerate(lines) if "Window [" in line and "adds" in line)
     assert "inline(" not in plan and not any("Aggregate" in line for line in lines[:window])
+
+
+def test_previous_purchase_takes_one_exchange_and_no_groups(spark):
+    """Repeated and NULL times included; no table of groups is built before the exchange."""
+    null = None
+    bought = target_of(
+        spark, ("c", "p", null), ("c", "p", null), ("c", "p", "2022-01-01 08:00"), ("c", "p", "2022-01-01 08:00"),
+        (null, "p", "2022-01-02"), (null, "p", "2022-01-03"), (null, null, null))
+    got = previous_purchase(bought)
+    assert rows(got, *[F.col(c).cast("string") for c in got.columns]) == rows(spark.createDataFrame([
+        ("c", "p", null, null), ("c", "p", "2022-01-01 08:00:00", null), (null, "p", "2022-01-02 00:00:00", null),
+        (null, "p", "2022-01-03 00:00:00", "2022-01-02 00:00:00"), (null, null, null, null)], "a string, b string, c string, d string"))
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Window [") == 1
