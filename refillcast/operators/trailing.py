@@ -138,7 +138,10 @@ def running_windows(
         running.append(over(f"sum({limb})", "unbounded preceding", "1 preceding" if is_strict else "current row") + f" as {limb}__now")
         for m in windows:
             running.append(over(f"sum({limb})", "unbounded preceding", f"{32 * m + 1} preceding") + f" as {limb}__before{m}")
-            running.append(over(f"sum({limb}__end)", f"{32 * m} preceding", f"{32 * m} preceding") + f" as {limb}__end{m}")
+            # As a difference too: a frame that slides copies every row.
+            running += [
+                over(f"sum({limb}__end)", "unbounded preceding", f"{end} preceding") + f" as {limb}__{name}{m}"
+                for name, end in (("upto", 32 * m), ("past", 32 * m + 1))]
     running += [
         over(f"max({t}__wild)", "unbounded preceding", "1 preceding" if t in strict else "current row") + f" as {t}__last_wild"
         for t in doubles]
@@ -147,7 +150,7 @@ def running_windows(
         .select("*", *[window_start(F.col("day"), m).alias(f"from__{m}") for m in windows if doubles]))
 
     def inside(limb: str, m: int) -> str:
-        end = f"case when day = last_day(day) then coalesce({limb}__end{m}, 0L) else 0L end"
+        end = f"case when day = last_day(day) then coalesce({limb}__upto{m}, 0L) - coalesce({limb}__past{m}, 0L) else 0L end"
         return f"(coalesce({limb}__now, 0L) - coalesce({limb}__before{m}, 0L) + {end})"
 
     def total(name: str, m: int) -> str:

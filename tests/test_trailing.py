@@ -346,3 +346,17 @@ def test_previous_purchase_takes_one_exchange_and_no_groups(spark):
         (null, "p", "2022-01-03 00:00:00", "2022-01-02 00:00:00"), (null, null, null, null)], "a string, b string, c string, d string"))
     plan = got._jdf.queryExecution().sparkPlan().toString()
     assert "Aggregate" not in plan and plan.count("Window [") == 1
+
+
+def test_rows_of_a_scan_and_of_a_shuffled_part_are_bounded(spark, tmp_path):
+    """A staged file of some bytes a row is read in several tasks, so that none adds up ten million rows."""
+    spark.range(9_000_000).selectExpr("xxhash64(id) as x").coalesce(1).write.option("compression", "none").parquet(str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions() >= 3
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 32 << 20
+
+
+def test_no_frame_slides(spark):
+    """Frames start at the first row: one that slides copies every row of the key."""
+    t, v = target_of(spark, ("c", "p", "2022-03-15")), views_of(spark, ("c", "p", "2022-03-10"))
+    plan = count_views(t, v)._jdf.queryExecution().optimizedPlan().toString()
+    assert "specifiedwindowframe(RangeFrame, unboundedpreceding$()" in plan and "specifiedwindowframe(RangeFrame, -" not in plan
