@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from refillcast.llm import sketches
 from refillcast.llm.common import as_bytes, bounded, staged
 from refillcast.llm.components import connected_components
-from refillcast.llm.sketches import SketchSpec, mixed
+from refillcast.llm.sketches import SketchSpec, band_keys, fill_sketch, mixed
 from refillcast.operators.joins import join_hot
 
 BITS = 64
@@ -212,17 +212,20 @@ def near_duplicates(docs: DataFrame, spec: SimHashSpec = SimHashSpec()) -> DataF
 class NearCopySpec(SketchSpec):
     """SimHash for near copies: documents whose sets of word shingles have a similarity of ``percent``.
 
-    At a similarity of 0.8 two fingerprints differ in 15 of 100 bits, so that keys of exact bits need a wider
-    fingerprint and many tables: each of ``tables`` keys are ``key_bits`` places drawn at random. At 0.8 a pair
-    shares a key with probability 1 - (1 - 0.85^22)^96 = 0.93, at 0.85 with 0.99. Pairs that share one are discarded
-    by their distances to pivots, then by their own distance, and the rest are verified on the full sets.
+    At a similarity of 0.8 two fingerprints differ in 15 of 100 bits, so a key of bits alone has to be short, and then documents
+    without a shingle in common share keys by chance, as a square of their number. Each of ``bands`` keys is therefore
+    made of the least hashes of ``rows`` hash functions over the set, which such documents never share, and of ``key_bits`` places
+    of the fingerprint drawn at random. At 0.8 a pair shares a key with probability
+    1 - (1 - 0.8^4 * 0.85^4)^24 = 0.997. Pairs that share one are discarded by their distances to pivots, then by their own
+    distance, and the rest are verified on the full sets.
     """
 
     shingle: int = 5
     percent: int = 80
     bits: int = 256
-    tables: int = 96
-    key_bits: int = 22
+    bands: int = 24
+    rows: int = 4
+    key_bits: int = 4
     #: 3.7 standard deviations over the mean distance at a similarity of 0.8.
     radius: int = 60
     n_pivots: int = 16
@@ -256,14 +259,16 @@ class NearCopySpec(SketchSpec):
         # A tied bit is that of the least hash.
         tied = np.unpackbits(first.view(np.uint8).ravel())
         bits = np.where(2 * votes == len(elements), tied, 2 * votes > len(elements)).astype(np.int64)
-        return bits[places] @ weights + (np.arange(self.tables) << 32), np.packbits(bits.astype(np.uint8)).tobytes()
+        least = band_keys(fill_sketch(elements, self.coordinates, self.seed), self).view(np.uint64)
+        keys = mixed(least + (bits[places] @ weights).view(np.uint64)).view(np.int64)
+        return keys, np.packbits(bits.astype(np.uint8)).tobytes()
 
 
 @functools.cache
 def _drawn(spec: NearCopySpec) -> tuple[np.ndarray, np.ndarray]:
-    """The bit places of each table's key, and the weights of a key's bits."""
+    """The bit places of each band's key, and the weights of a key's bits."""
     rng = np.random.default_rng(spec.seed)
-    places = np.stack([rng.choice(spec.bits, spec.key_bits, replace=False) for _ in range(spec.tables)])
+    places = np.stack([rng.choice(spec.bits, spec.key_bits, replace=False) for _ in range(spec.bands)])
     return places, np.int64(1) << np.arange(spec.key_bits, dtype=np.int64)
 
 

@@ -389,12 +389,18 @@ def possible_links(cells: DataFrame, spec: SketchSpec) -> DataFrame:
                 for i in np.flatnonzero(cell["seeks"]):
                     near = rows.near(i)
                     for j in near[component[near] != component[i]].tolist():
-                        if forest.join(int(i), j):
-                            left.append(cell["node"][i])
-                            right.append(cell["node"][j])
+                        forest.join(int(i), j)
+                roots, least = [forest.root(i) for i in range(len(cell["node"]))], {}
+                for root, node in zip(roots, cell["node"]):
+                    least[root] = min(least.get(root, node), node)
+                # Links to the least node of a tree: those of the many buckets of one group are often the same.
+                for root, node in zip(roots, cell["node"]):
+                    if node != least[root]:
+                        left.append(node)
+                        right.append(least[root])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
 
-    return gathered(cells, "key", "n", "sketch").mapInArrow(run, "u long, v long")
+    return gathered(cells, "key", "n", "sketch").mapInArrow(run, "u long, v long").distinct()
 
 
 def cell_links(cells: DataFrame, spec: SketchSpec) -> DataFrame:

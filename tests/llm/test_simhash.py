@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from refillcast.llm.components import connected_components
 from refillcast.llm.simhash import (
-    SimHashSpec, fingerprint_links, hexadecimal, near_copies, near_duplicates, pivots, spanning_links)
+    NearCopySpec, SimHashSpec, fingerprint_links, hexadecimal, near_copies, near_duplicates, pivots, spanning_links)
+from refillcast.llm.sketches import possible_links
 from .brute import brute_components, brute_fingerprint
 
 
@@ -104,3 +105,31 @@ def test_near_copies_are_linked_by_verified_similarity(spark, documents):
     # No false link, and of the pairs' links nine in ten and more.
     assert all(want[got[i]] == want[i] for i in got)
     assert sum(got[i] == want[i] for i in got) >= 0.95 * len(got)
+
+
+def test_unlike_sets_share_no_key_by_chance():
+    rng, spec = np.random.default_rng(3), NearCopySpec()
+    sets = [np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64)) for _ in range(3000)]
+    keys = np.concatenate([spec.summary(s)[0] for s in sets])
+    assert len(np.unique(keys)) == len(keys)
+
+
+def test_sets_at_the_threshold_share_a_key():
+    rng, spec, met = np.random.default_rng(5), NearCopySpec(), 0
+    for _ in range(400):
+        both = rng.integers(0, 1 << 63, 360, dtype=np.uint64)
+        # 320 in common of 400: a similarity of 0.8.
+        a, b = (np.unique(np.append(both[:320], rng.integers(0, 1 << 63, 40, dtype=np.uint64))) for _ in range(2))
+        met += bool(set(spec.summary(a)[0].tolist()) & set(spec.summary(b)[0].tolist()))
+    assert met >= 0.98 * 400
+
+
+def test_possible_links_of_one_group_are_the_same_in_all_buckets(spark):
+    spec = NearCopySpec()
+    rows = [(key, 0, node != 0, node, node, 300, bytes(spec.width)) for key in range(20) for node in rotated(40, key)]
+    cells = spark.createDataFrame(rows, "key long, part int, seeks boolean, node long, component long, n long, sketch binary")
+    assert sorted(map(tuple, possible_links(cells, spec).collect())) == [(k, 0) for k in range(1, 40)]
+
+
+def rotated(n, by):
+    return [(k * 7 + by) % n for k in range(n)]
