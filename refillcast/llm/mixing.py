@@ -6,12 +6,13 @@ which the expected tokens of each domain, sum of rate * tokens * posterior, matc
 projected gradient descent on the squared differences. The gradient with respect to a document's
 rate needs only its own posterior and one number per domain. Rates therefore depend on the posterior alone,
 and an iteration is one aggregate over the distinct posteriors, of which there are at most as many as
-combinations of the classifier's ranges; nothing but those numbers reaches the driver. Documents are read once to be
-scored and once to be given their rate.
+combinations of the classifier's ranges (512 * 6^domains, whatever the input). Up to ``most_cells`` of them, tokens summed
+per posterior, are what reaches the driver, where a step is an array expression and no job; more stay in a table, and then only
+the sums reach it. Documents are read once to be scored and once to be given their rate.
 
 The classifier is naive Bayes over ranges of surface shares and of counts of telling words. Word
 list and tables come from at most ``sample`` labelled documents, those with the least hash of their
-id; posteriors and totals cover all documents. Only built-in functions are used.
+id; posteriors and totals cover all documents. Only built-in functions touch the rows.
 
 Defined results: null texts have no tokens, rate as the classifier says, and no weight in the totals; labels
 of unknown documents and null domains are left out; domains without labelled documents are left out and the other targets
@@ -25,6 +26,8 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +49,9 @@ class MixSpec:
     #: Ten steps that lower the squared differences by less than this share are slow: from then on steps
     #: carry momentum, and once they are slow with it, nothing more is to be gained.
     gain: float = 0.02
-    #: Steps after which the rates are written, so that expressions stay short.
+    #: Up to so many distinct posteriors the descent runs on arrays of them; more are moved and added up across the cluster.
+    most_cells: int = 200_000
+    #: Steps after which the rates are written then, so that expressions stay short.
     steps_per_write: int = 10
     #: An end to the descent, for trials; none unless given.
     most_steps: int | None = None
@@ -166,27 +171,77 @@ def rate_after(moves: list[tuple[list[float], float]]) -> str:
         f"(a, s) -> named_struct('r', {rate}, 'y', {rate} + s.b * ({rate} - a.r)))")
 
 
-def descend(held: DataFrame, targets: list[float], spec: MixSpec) -> tuple[DataFrame, list[float], bool]:
-    """The frame of distinct posteriors (p0, ..., floor, tokens) with their rate r, the expected tokens per domain,
-    and whether these meet the targets."""
-    domains = range(len(targets))
-    held = held.selectExpr("*", "1.0D as r", "1.0D as y")
-    moves: list[tuple[list[float], float]] = []
+class TableRates:
+    """Rates of a frame of cells (distinct posteriors p0, ..., floor, tokens), moved and added up across the cluster."""
 
-    def state() -> tuple[list[float], list[float], float]:
+    def __init__(self, held: DataFrame, n: int, spec: MixSpec):
+        self.held, self.n, self.spec = held.selectExpr("*", "1.0D as r", "1.0D as y"), n, spec
+        self.moves: list[tuple[list[float], float]] = []
+
+    def measured(self) -> tuple[list[float], list[float], float]:
         """Expected tokens per domain at the rates and at the momentum's points, and the product of
         the last move's gradient and direction: positive if it went uphill."""
+        moves, domains = self.moves, range(self.n)
         gradient = moves[-1][0] if moves else [0.0 for _ in domains]
         row = (
-            held.selectExpr("*", f"{rate_after(moves)} as a", f"{rate_after(moves[:-1])}.r as r0")
+            self.held.selectExpr("*", f"{rate_after(moves)} as a", f"{rate_after(moves[:-1])}.r as r0")
             .selectExpr(
                 *[f"sum(tokens * a.r * p{k}) as r{k}" for k in domains], *[f"sum(tokens * a.y * p{k}) as y{k}" for k in domains],
                 f"sum(tokens * (a.r - r0) * ({' + '.join(f'p{k} * {gradient[k]!r}D' for k in domains) or '0.0D'})) as uphill")
             .first())
-        values, n = [float(v or 0.0) for v in row], len(targets)
-        return values[:n], values[n : 2 * n], values[-1]
+        values = [float(v or 0.0) for v in row]
+        return values[: self.n], values[self.n : 2 * self.n], values[-1]
+
+    def move(self, numbers: list[float], momentum: float) -> None:
+        if len(self.moves) == self.spec.steps_per_write:
+            columns = [*[f"p{k}" for k in range(self.n)], "floor", "tokens"]
+            written = self.held.selectExpr(*columns, f"{rate_after(self.moves)} as a")
+            self.held, self.moves = staged(written.selectExpr(*columns, "a.r", "a.y"), "mix-rates"), []
+        self.moves.append((numbers, momentum))
+
+    def restart(self) -> None:
+        """Take the momentum back from the last move."""
+        self.moves[-1] = (self.moves[-1][0], 0.0)
+
+    def rates(self) -> DataFrame:
+        return self.held.selectExpr(*[f"p{k}" for k in range(self.n)], "floor", f"{rate_after(self.moves)}.r as rate")
+
+
+class ArrayRates:
+    """The same of at most ``most_cells`` cells, in arrays: a step is no job of its own then."""
 
-    now, at, _ = state()
+    def __init__(self, held: DataFrame, n: int):
+        self.spark, self.names = held.sparkSession, [*[f"p{k}" for k in range(n)], "floor"]
+        table = held.select(*self.names, "tokens").toArrow()
+        cells = np.stack([table.column(c).fill_null(0.0).to_numpy() for c in table.column_names], axis=1)
+        cells = cells[np.lexsort(cells.T)]
+        self.p, self.floor, self.tokens = cells[:, :n], cells[:, n], cells[:, n + 1]
+        self.r = self.y = self.before = np.ones(len(cells))
+        self.gradient = np.zeros(n)
+
+    def measured(self) -> tuple[list[float], list[float], float]:
+        uphill = float((self.tokens * (self.r - self.before) * (self.p @ self.gradient)).sum())
+        return ((self.tokens * self.r) @ self.p).tolist(), ((self.tokens * self.y) @ self.p).tolist(), uphill
+
+    def move(self, numbers: list[float], momentum: float) -> None:
+        self.before, self.gradient = self.r, np.array(numbers)
+        self.r = np.maximum(self.floor, self.y - self.p @ self.gradient)
+        self.y = self.r + momentum * (self.r - self.before)
+
+    def restart(self) -> None:
+        self.y = self.r
+
+    def rates(self) -> DataFrame:
+        columns = [*self.p.T, self.floor, self.r]
+        return self.spark.createDataFrame(pa.table([pa.array(c, pa.float64()) for c in columns], [*self.names, "rate"]))
+
+
+def descend(held: DataFrame, targets: list[float], spec: MixSpec) -> tuple[DataFrame, list[float], bool]:
+    """The frame of distinct posteriors (p0, ..., floor, tokens) with their rate, the expected tokens per domain,
+    and whether these meet the targets."""
+    domains = range(len(targets))
+    rates = ArrayRates(held, len(targets)) if held.count() <= spec.most_cells else TableRates(held, len(targets), spec)
+    now, at, _ = rates.measured()
     size, whole = [max(v, 1e-9) for v in now], max(sum(targets), 1.0)
     step, pace, hurried, errors = 0, 1.0, None, []
     while True:
@@ -196,18 +251,16 @@ def descend(held: DataFrame, targets: list[float], spec: MixSpec) -> tuple[DataF
         if slow and hurried is None:
             hurried = step
         if met or step == spec.most_steps or slow and step >= hurried + 20:
-            return held.selectExpr(*[f"p{k}" for k in domains], "floor", f"{rate_after(moves)}.r as rate"), now, met
-        if len(moves) == spec.steps_per_write:
-            written = held.selectExpr(*[f"p{k}" for k in domains], "floor", "tokens", f"{rate_after(moves)} as a")
-            held = staged(written.selectExpr(*[f"p{k}" for k in domains], "floor", "tokens", "a.r", "a.y"), "mix-rates")
-            moves = []
+            return rates.rates(), now, met
         faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2 if hurried is not None else 1.0
-        moves.append(([(at[k] - targets[k]) / size[k] for k in domains], (pace - 1) / faster))
+        momentum = (pace - 1) / faster
+        rates.move([(at[k] - targets[k]) / size[k] for k in domains], momentum)
         step, pace = step + 1, faster
-        now, at, uphill = state()
-        if uphill > 0 and moves[-1][1] > 0:
+        now, at, uphill = rates.measured()
+        if uphill > 0 and momentum > 0:
             # Momentum led uphill: the next move starts from the rates themselves.
-            moves[-1], pace, at = (moves[-1][0], 0.0), 1.0, now
+            rates.restart()
+            pace, at = 1.0, now
 
 
 def fit_rates(scored: DataFrame, targets: list[float], spec: MixSpec = MixSpec(), least: Column | None = None) -> tuple[DataFrame, list[float]]:

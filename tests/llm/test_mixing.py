@@ -103,3 +103,24 @@ def test_without_labels_or_documents(spark, documents):
     got = mix(documents([(1, "a b"), (2, None)]), none, {"clean": 1.0}).collect()
     assert [(r["rate"], r["copies"]) for r in got] == [(1.0, 1), (1.0, 1)]
     assert mix(documents([]), none, {"clean": 1.0}).collect() == []
+
+
+def test_the_descent_starts_no_job_a_step(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(400):
+        share = rng.choice((0.02, 0.1, 0.3, 0.5, 0.8))
+        rows.append((rng.randint(5, 90), share, 1 - share))
+    scored = spark.createDataFrame(rows, "n_tokens long, p0 double, p1 double")
+    total = float(sum(n for n, _, _ in rows))
+    jobs, first = [], type(scored).first
+    monkeypatch.setattr(type(scored), "first", lambda self: jobs.append(1) or first(self))
+    found = {}
+    for most in (MixSpec.most_cells, 0):
+        before = len(jobs)
+        rated, reached = fit_rates(scored, [0.9 * total, 0.1 * total], MixSpec(most_cells=most))
+        rates = sorted((r["n_tokens"], r["p0"], r["rate"]) for r in rated.collect())
+        found[most] = [x[2] for x in rates], reached, len(jobs) - before
+    (rates, reached, few), (same, also, many) = found.values()
+    assert rates == pytest.approx(same, abs=1e-9) and reached == pytest.approx(also)
+    assert few == 0 and many > 10
