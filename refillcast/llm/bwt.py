@@ -9,24 +9,39 @@ def transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Suffix order and transform of strings that each end in a mark at ``ends``.
 
     Marks are smaller than every byte and differ by place, so suffixes end where their string
-    does. Prefix doubling; ranks that are already unique do not change any more.
+    does. The first seven symbols are sorted at once, then prefixes double; only suffixes whose rank is
+    shared yet are sorted again.
     """
     n = len(text)
-    symbols = text.astype(np.int64) + len(ends)
-    symbols[ends] = np.arange(len(ends))
-    # The first eight symbols of a suffix by three rounds of pairing, then doubling by rank.
-    rank, width = symbols, 1
+    symbols = text.astype(np.int64) + 1
+    symbols[ends] = 0
+    key, open_ = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for k in range(7):
+        here = np.zeros(n, dtype=np.int64)
+        here[: max(n - k, 0)] = symbols[k:]
+        key = (key << 9) | np.where(open_, here, 0)
+        open_ &= here > 0
+    # Equal up to a mark: by its place, which is the order a stable sort leaves.
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    first = np.ones(n, dtype=bool)
+    first[1:] = (ranked[1:] != ranked[:-1]) | ~open_[order][1:]
+    # A rank is the place of the first suffix that shares it.
+    slots, width, rank = np.arange(n), 7, np.empty(n, dtype=np.int64)
     while True:
-        key = rank * (int(rank.max()) + 2)
-        key[: n - width] += rank[width:] + 1
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        fresh = np.empty(n, dtype=np.int64)
-        fresh[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        rank, width = fresh, width * 2
-        if int(rank.max()) == n - 1:
-            break
-    return order, text[order - 1]
+        rank[order[slots]] = np.maximum.accumulate(np.where(first, slots, 0))
+        shared = ~first
+        shared[:-1] |= ~first[1:]
+        slots = slots[shared]
+        if not len(slots):
+            return order, text[order - 1]
+        rows = order[slots]
+        # A shared rank has no mark in its prefix, so the text goes on after it.
+        key = rank[rows] * n + rank[rows + width]
+        by = np.argsort(key)
+        order[slots], ranked = rows[by], key[by]
+        first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        width *= 2
 
 
 def threshold_groups(bwt: np.ndarray, is_mark: np.ndarray, least: int) -> np.ndarray:

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from refillcast.llm import bwt
 from refillcast.llm.bwt import first_seen
 from refillcast.llm.repeats import RepeatSpec, chunked, without_repeats
 
@@ -87,3 +88,30 @@ def test_rows_without_an_id_spread_over_the_chunks(spark, documents):
     assert sum(sizes) == 64 and max(sizes) <= 32 and len(sizes) > 3
     got = without_repeats(docs, spec).collect()
     assert sorted(r["kept"] for r in got) == sorted(text.values())
+
+
+def test_the_transform_sorts_only_suffixes_of_shared_rank_again(monkeypatch):
+    rng = random.Random(8)
+    strings = [bytes(rng.choice(b"abcdefgh") for _ in range(rng.randint(1, 80))) for _ in range(200)]
+    strings += [strings[0] * 2, strings[0], b"a"]
+    text = np.frombuffer(b"\x00".join(strings) + b"\x00", dtype=np.uint8)
+    ends = np.cumsum([len(s) + 1 for s in strings]) - 1
+    sizes, argsort = [], np.argsort
+    monkeypatch.setattr(bwt.np, "argsort", lambda a, **kind: sizes.append(len(a)) or argsort(a, **kind))
+    order, found = bwt.transform(text, ends)
+    symbols = text.astype(int) + len(ends)
+    symbols[ends] = range(len(ends))
+    whole = symbols.tolist()
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: whole[i:])
+    assert found.tolist() == text[order - 1].tolist()
+    assert sum(sizes) < 2 * len(text)
+
+
+@pytest.mark.parametrize("text", [b"\x00", b"a\x00", b"\x00\x00a\x00"])
+def test_the_transform_of_short_texts(text):
+    ends = np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == 0)
+    order, _ = bwt.transform(np.frombuffer(text, dtype=np.uint8), ends)
+    symbols = [c + len(text) for c in text]
+    for k, e in enumerate(ends.tolist()):
+        symbols[e] = k
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: symbols[i:])
