@@ -1,3 +1,5 @@
+import importlib
+
 import pytest
 from conftest import rows
 from pyspark.ml.functions import vector_to_array
@@ -69,3 +71,27 @@ def test_report_is_the_same_with_and_without_numbers(spark):
     assert fitted.report.where("is_selected = 1").count() == 3
     again = fitted.preprocessing.transform(L.index_rows(df, fitted.categories, ["color"]))
     assert pytest.approx(L.evaluate(L.predict(fitted.cv_model, again), "y")) == L.evaluate(L.predict(fitted.cv_model, fitted.data), "y")
+
+
+def fit_of(spark):
+    df = spark.range(90).selectExpr(
+        "id", "element_at(array('red', 'blue', 'green'), cast(id % 3 + 1 as int)) as color", "id % 7 / 7 as x",
+        "id % 3 + id % 7 / 70 as y", *[f"id as other{i}" for i in range(40)])
+    spec = L.ElasticNetSpec(
+        label="y", cat_features=["color"], num_features=["x"], log_transform=False, elastic_net_param=(0.0,),
+        reg_param=(0.001,), top_features=3, folds=3, row_key=("id",))
+    return df, L.fit_replenishment_model(df, spec)
+
+
+def test_fits_read_a_written_table_of_the_features_alone(spark, monkeypatch):
+    """No scan of the fits joins the labels' numbers again, and the result keeps every column."""
+    model, seen = importlib.import_module("refillcast.learning.elastic_net"), []
+    validate = model.cross_validate
+    monkeypatch.setattr(model, "cross_validate", lambda df, *rest: seen.append(df) or validate(df, *rest))
+    df, fitted = fit_of(spark)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "__encoded" not in plan and "other0" not in plan
+    assert set(df.columns) <= set(fitted.data.columns) and fitted.data.count() == 90
+    names = ["fold", "y"]
+    vector = vector_to_array("selected_features").cast("string").alias("v")
+    assert rows(seen[0].select(*names, vector)) == rows(fitted.data.select(*names, vector))
