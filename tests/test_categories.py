@@ -95,3 +95,17 @@ def test_fits_read_a_written_table_of_the_features_alone(spark, monkeypatch):
     names = ["fold", "y"]
     vector = vector_to_array("selected_features").cast("string").alias("v")
     assert rows(seen[0].select(*names, vector)) == rows(fitted.data.select(*names, vector))
+
+
+def test_rows_go_through_the_joins_in_few_columns(spark):
+    df, fitted = fit_of(spark)
+    odd = df.withColumnRenamed("other0", "a.b").withColumn("color", F.when(F.col("id") % 5 > 0, F.col("color")))
+    indexed = L.index_rows(odd, fitted.categories, ["color"])
+    assert indexed.columns == [*odd.columns, "color__index"]
+    assert rows(indexed.select("id", "`a.b`", "other39", "color")) == rows(odd.select("id", "`a.b`", "other39", "color"))
+    top, wide = indexed._jdf.queryExecution().optimizedPlan(), []
+    while not top.children().isEmpty():
+        if "Join" in top.nodeName():
+            wide.append(top.output().size())
+        top = top.children().head()
+    assert wide and max(wide) < 10
