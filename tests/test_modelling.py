@@ -1,8 +1,10 @@
 import math
+import time
 from dataclasses import replace
 
 import pytest
 from conftest import at, rows
+from pyspark.sql import functions as F
 
 from refillcast.operators import joins, reshape
 from refillcast.operators.trailing import channel_totals, topk_trailing
@@ -16,7 +18,7 @@ from refillcast.plans.modelling import (
     product_mean_gap,
 )
 from refillcast.plans.target import with_gap
-from refillcast.session import fresh_path
+from refillcast.session import fresh_path, settle
 
 
 def frame(spark, data, schema):
@@ -172,3 +174,27 @@ def test_product_totals_are_not_joined_back(inputs):
     plan = modelling_data(inputs)._jdf.queryExecution().optimizedPlan().toString()
     joins_on = [line for line in plan.splitlines() if "Join" in line]
     assert joins_on and not any("product_id" in line and "day#" in line for line in joins_on)
+
+
+def test_staging_leaves_no_shuffles_and_one_exchange_to_join(spark, inputs, tmp_path):
+    """What the last join meets is written, each table by a query of its own that drops its shuffle files."""
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    wide = modelling_data(inputs, ModellingSpec(staging=str(tmp_path / "covered")))
+    assert {p.name for p in tmp_path.iterdir()} == {"covered", "covered-products", "covered-windows", "covered-customers"}
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == before
+
+
+def test_settled_rows_leave_only_their_table(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+    before = shuffled()
+    table = settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), str(tmp_path / "t"))
+    left = shuffled()
+    for _ in range(50):
+        if not left - before:
+            break
+        time.sleep(0.1)
+        left = shuffled()
+    assert not left - before and table.count() == 7
